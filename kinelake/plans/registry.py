@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from kinelake.operators import anomalies, compaction
+from kinelake.operators import anomalies, compaction, imputation
 
-MODULES = [compaction, anomalies]
+MODULES = [compaction, anomalies, imputation]
 
 
 def entry(spark, root):
