@@ -1,7 +1,7 @@
 """Registered queries of this subpackage."""
 
-from kinelake.llm import percentiles, rests, splits
+from kinelake.llm import decontam, percentiles, rests, splits
 
-MODULES = [rests, percentiles, splits]
+MODULES = [rests, percentiles, splits, decontam]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
