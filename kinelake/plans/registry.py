@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from kinelake.operators import anomalies, compaction, imputation
+from kinelake.plans import series_queries
 
-MODULES = [compaction, anomalies, imputation]
+MODULES = [compaction, anomalies, imputation, series_queries]
 
 
 def entry(spark, root):
-    return compaction.p1_found(spark, root)
+    return series_queries.s3_band_prefix(spark, root)
 
 
 def queries():
