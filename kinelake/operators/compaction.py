@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kinelake.functions.dense import longs, runs, starts_of, whole_groups
 from kinelake.functions.deliveries import block_of
+from kinelake.session import materialise
 
 SPAN = 4096
 TARGET_BYTES = 64 << 20
@@ -334,7 +335,9 @@ def compact_files(spark: SparkSession, listing: DataFrame, out: str, kind: str =
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of tiny files that hold the same record, from the headers of the verified packs."""
-    return overlapping_files(pack_index(pack_frames(spark.read.parquet(f"{root}/frames.parquet"))))
+    # The index is written, as it is read twice and packing is the costly part.
+    index, _ = materialise(pack_index(pack_frames(spark.read.parquet(f"{root}/frames.parquet"))), "pack-index")
+    return overlapping_files(index)
 
 
 def p1_packs(spark: SparkSession, root: str) -> DataFrame:
