@@ -1,7 +1,7 @@
 """Poses, rotations and grippers as Column expressions.
 
 A rotation is an array of 9 (row-major), a pose an array of 16 (row-major 4 x 4), a quaternion an array of 4 in the order
-the function's name says.  Columns are read several times by an expression; name a costly one with ``withColumn`` first.
+the function's name says.  Intermediate results are bound with :func:`let`, so expressions stay linear in size.
 """
 
 from __future__ import annotations
@@ -59,26 +59,52 @@ def determinant(a: list[Column]) -> Column:
     return a[0] * (a[4] * a[8] - a[5] * a[7]) - a[1] * (a[3] * a[8] - a[5] * a[6]) + a[2] * (a[3] * a[7] - a[4] * a[6])
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _doubles(v: Column, start: int, n: int) -> Column:
+    return F.array(*items(v, n, start))
+
+
 def rot6d_to_matrix(v: Column, start: int = 0) -> Column:
     """From the first two columns: x = c1 / (norm + 1e-8), z = x cross c2 normalised likewise, y = z cross x."""
-    c1, c2 = items(v, 3, start), items(v, 3, start + 3)
-    n1 = norm(c1) + EPS
-    x = [a / n1 for a in c1]
-    raw = cross(x, c2)
-    nz = norm(raw) + EPS
-    z = [a / nz for a in raw]
-    y = cross(z, x)
-    return vector([m for row in zip(x, y, z) for m in row])
+
+    def scaled(a):
+        return let(norm(items(a, 3)) + EPS, lambda n: vector([q / n for q in items(a, 3)]))
+
+    def body(c):
+        def with_x(x):
+            def with_z(z):
+                return let(vector(cross(items(z, 3), items(x, 3))), lambda y: vector([m for row in zip(items(x, 3), items(y, 3), items(z, 3)) for m in row]))
+
+            return let(let(vector(cross(items(x, 3), items(c, 3, 3))), scaled), with_z)
+
+        return let(scaled(c), with_x)
+
+    return let(_doubles(v, start, 6), body)
 
 
 def rot6d_to_matrix_gs(v: Column, start: int = 0) -> Column:
     """The Gram-Schmidt variant, norms floored at 1e-8."""
-    a1, a2 = items(v, 3, start), items(v, 3, start + 3)
-    b1 = unit(a1)
-    d = dot(b1, a2)
-    b2 = unit([y - d * x for x, y in zip(b1, a2)])
-    b3 = cross(b1, b2)
-    return vector([m for row in zip(b1, b2, b3) for m in row])
+
+    def unit_of(a):
+        return let(F.greatest(norm(items(a, 3)), F.lit(EPS)), lambda n: vector([q / n for q in items(a, 3)]))
+
+    def body(c):
+        def with_b1(b1):
+            def with_d(d):
+                def with_b2(b2):
+                    return let(vector(cross(items(b1, 3), items(b2, 3))), lambda b3: vector([m for row in zip(items(b1, 3), items(b2, 3), items(b3, 3)) for m in row]))
+
+                return let(let(vector([y - d * x for x, y in zip(items(b1, 3), items(c, 3, 3))]), unit_of), with_b2)
+
+            return let(dot(items(b1, 3), items(c, 3, 3)), with_d)
+
+        return let(unit_of(c), with_b1)
+
+    return let(_doubles(v, start, 6), body)
 
 
 def matrix_to_rot6d(r: Column) -> Column:
@@ -87,17 +113,24 @@ def matrix_to_rot6d(r: Column) -> Column:
 
 def matrix_to_euler(r: Column) -> Column:
     """Extrinsic xyz (roll, pitch, yaw); at gimbal lock yaw is 0 and roll takes the rest."""
-    m = items(r, 9)
-    s = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -m[6]))
-    lock = F.abs(s) > 1 - 1e-12
-    return vector([F.when(lock, F.atan2(-m[5], m[4])).otherwise(F.atan2(m[7], m[8])), F.asin(s), F.when(lock, F.lit(0.0)).otherwise(F.atan2(m[3], m[0]))])
+
+    def body(bound):
+        m = items(bound, 9)
+        s = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -m[6]))
+        lock = F.abs(s) > 1 - 1e-12
+        return vector([F.when(lock, F.atan2(-m[5], m[4])).otherwise(F.atan2(m[7], m[8])), F.asin(s), F.when(lock, F.lit(0.0)).otherwise(F.atan2(m[3], m[0]))])
+
+    return let(r, body)
 
 
 def euler_to_matrix(e: Column, start: int = 0) -> Column:
     """R = Rz Ry Rx for extrinsic xyz angles."""
-    a, b, c = items(e, 3, start)
-    ca, sa, cb, sb, cc, sc = F.cos(a), F.sin(a), F.cos(b), F.sin(b), F.cos(c), F.sin(c)
-    return vector([cc * cb, cc * sb * sa - sc * ca, cc * sb * ca + sc * sa, sc * cb, sc * sb * sa + cc * ca, sc * sb * ca - cc * sa, -sb, cb * sa, cb * ca])
+
+    def body(t):
+        ca, sa, cb, sb, cc, sc = items(t, 6)
+        return vector([cc * cb, cc * sb * sa - sc * ca, cc * sb * ca + sc * sa, sc * cb, sc * sb * sa + cc * ca, sc * sb * ca - cc * sa, -sb, cb * sa, cb * ca])
+
+    return let(vector([f(x) for x in items(e, 3, start) for f in (F.cos, F.sin)]), body)
 
 
 def _quaternion_matrix(w, x, y, z) -> list[Column]:
@@ -106,12 +139,15 @@ def _quaternion_matrix(w, x, y, z) -> list[Column]:
 
 def wxyz_to_matrix(q: Column, start: int = 0, identity_below: float = 1e-12) -> Column:
     """Normalised first; a quaternion of norm at most ``identity_below`` gives the identity."""
-    v = items(q, 4, start)
-    n = norm(v)
-    safe = F.greatest(n, F.lit(identity_below))
-    w, x, y, z = (a / safe for a in v)
     one = vector([F.lit(1.0 if i in (0, 4, 8) else 0.0) for i in range(9)])
-    return F.when(n <= identity_below, one).otherwise(vector(_quaternion_matrix(w, x, y, z)))
+
+    def body(v):
+        def with_norm(n):
+            return F.when(n <= identity_below, one).otherwise(let(vector([a / F.greatest(n, F.lit(identity_below)) for a in items(v, 4)]), lambda u: vector(_quaternion_matrix(*items(u, 4)))))
+
+        return let(norm(items(v, 4)), with_norm)
+
+    return let(_doubles(q, start, 4), body)
 
 
 def xyzw_to_matrix(q: Column, start: int = 0) -> Column:
@@ -121,17 +157,21 @@ def xyzw_to_matrix(q: Column, start: int = 0) -> Column:
 
 def matrix_to_wxyz(r: Column) -> Column:
     """By the trace, else by the largest diagonal element; w is not negative in the first case."""
-    m = items(r, 9)
-    t = m[0] + m[4] + m[8]
-    s0 = F.sqrt(F.greatest(t + 1, F.lit(1e-300))) * 2
-    s1 = F.sqrt(F.greatest(1 + m[0] - m[4] - m[8], F.lit(1e-300))) * 2
-    s2 = F.sqrt(F.greatest(1 - m[0] + m[4] - m[8], F.lit(1e-300))) * 2
-    s3 = F.sqrt(F.greatest(1 - m[0] - m[4] + m[8], F.lit(1e-300))) * 2
-    a = vector([s0 / 4, (m[7] - m[5]) / s0, (m[2] - m[6]) / s0, (m[3] - m[1]) / s0])
-    b = vector([(m[7] - m[5]) / s1, s1 / 4, (m[1] + m[3]) / s1, (m[2] + m[6]) / s1])
-    c = vector([(m[2] - m[6]) / s2, (m[1] + m[3]) / s2, s2 / 4, (m[5] + m[7]) / s2])
-    d = vector([(m[3] - m[1]) / s3, (m[2] + m[6]) / s3, (m[5] + m[7]) / s3, s3 / 4])
-    return F.when(t > 0, a).when((m[0] >= m[4]) & (m[0] >= m[8]), b).when(m[4] >= m[8], c).otherwise(d)
+
+    def scaled(value, parts):
+        """``parts(s)`` for s = 2 sqrt(value)."""
+        return let(F.sqrt(F.greatest(value, F.lit(1e-300))) * 2, lambda s: vector(parts(s)))
+
+    def body(bound):
+        m = items(bound, 9)
+        t = m[0] + m[4] + m[8]
+        a = scaled(t + 1, lambda s: [s / 4, (m[7] - m[5]) / s, (m[2] - m[6]) / s, (m[3] - m[1]) / s])
+        b = scaled(1 + m[0] - m[4] - m[8], lambda s: [(m[7] - m[5]) / s, s / 4, (m[1] + m[3]) / s, (m[2] + m[6]) / s])
+        c = scaled(1 - m[0] + m[4] - m[8], lambda s: [(m[2] - m[6]) / s, (m[1] + m[3]) / s, s / 4, (m[5] + m[7]) / s])
+        d = scaled(1 - m[0] - m[4] + m[8], lambda s: [(m[3] - m[1]) / s, (m[2] + m[6]) / s, (m[5] + m[7]) / s, s / 4])
+        return F.when(t > 0, a).when((m[0] >= m[4]) & (m[0] >= m[8]), b).when(m[4] >= m[8], c).otherwise(d)
+
+    return let(r, body)
 
 
 def pose(r: list[Column], t: list[Column]) -> Column:
@@ -144,55 +184,80 @@ def pose_parts(p: Column) -> tuple[list[Column], list[Column]]:
 
 def rigid_inverse(p: Column) -> Column:
     """Transposed rotation and -R't; for rigid poses."""
-    r, t = pose_parts(p)
-    rt = transposed(r)
-    return pose(rt, [-x for x in mat_vec(rt, t)])
+
+    def body(bound):
+        r, t = pose_parts(bound)
+        rt = transposed(r)
+        return pose(rt, [-x for x in mat_vec(rt, t)])
+
+    return let(p, body)
 
 
 def compose(a: Column, b: Column) -> Column:
-    ra, ta = pose_parts(a)
-    rb, tb = pose_parts(b)
-    return pose(mat_mul(ra, rb), [x + y for x, y in zip(mat_vec(ra, tb), ta)])
+    def body(x, y):
+        ra, ta = pose_parts(x)
+        rb, tb = pose_parts(y)
+        return pose(mat_mul(ra, rb), [p + q for p, q in zip(mat_vec(ra, tb), ta)])
+
+    return let(a, lambda x: let(b, lambda y: body(x, y)))
 
 
 def head_pose(p: Column) -> Column:
     """xyz and wxyz quaternion (7 numbers) as a pose."""
-    return pose(items(wxyz_to_matrix(p, 3), 9), items(p, 3))
+    return let(wxyz_to_matrix(p, 3), lambda r: pose(items(r, 9), items(p, 3)))
+
+
+def move_point(p: Column, v: list[Column]) -> Column:
+    """The point (3 numbers) moved by the pose."""
 
+    def body(x, y):
+        r, t = pose_parts(x)
+        return vector([a + b for a, b in zip(mat_vec(r, items(y, 3)), t)])
 
-def move_point(p: Column, v: list[Column]) -> list[Column]:
-    r, t = pose_parts(p)
-    return [x + y for x, y in zip(mat_vec(r, v), t)]
+    return let(p, lambda x: let(vector(v), lambda y: body(x, y)))
 
 
 def canonical14(v: Column) -> Column:
     """20 numbers (xyz, rot6d, width per hand) to 14 (xyz, roll-pitch-yaw, width per hand)."""
-    out = []
-    for s in (0, 10):
-        out += [*items(v, 3, s), *items(matrix_to_euler(rot6d_to_matrix(v, s + 3)), 3), item(v, s + 9)]
-    return vector(out)
+    one = lambda s: F.concat(vector(items(v, 3, s)), matrix_to_euler(rot6d_to_matrix(v, s + 3)), F.array(item(v, s + 9)))
+    return F.concat(one(0), one(10))
 
 
-def retarget(thumb: list[Column], index: list[Column], middle: list[Column], wrist: list[Column], side: int) -> dict[str, Column]:
-    """A virtual gripper from four joints; ``side`` is +1 for right, -1 for left.
+def retarget(thumb: list[Column], index: list[Column], middle: list[Column], wrist: list[Column], side: int) -> Column:
+    """A virtual gripper from four joints as struct(position, rotation, width, valid); ``side`` is +1 for right, -1 for left.
 
     Finger = 0.7 index + 0.3 middle; position halfway to the thumb, width their distance, z along thumb - finger (times
-    side), y from z and the direction finger - wrist; a degenerate y falls back to [0, 1, 0] made orthogonal to z."""
+    side), y from z and the direction finger - wrist; a degenerate y falls back to [0, 1, 0] made orthogonal to z.  Take the
+    fields apart with ``F.inline(F.array(...))``, which computes them once."""
+
+    def unit_of(a, floor=EPS):
+        return let(F.greatest(norm(items(a, 3)), F.lit(floor)), lambda n: vector([q / n for q in items(a, 3)]))
+
+    def with_points(p):
+        t, f, w = items(p, 3), items(p, 3, 3), items(p, 3, 6)
+        gap = [a - b for a, b in zip(t, f)]
+        up = [F.lit(0.0), F.lit(1.0), F.lit(0.0)]
+
+        def with_z(z, width):
+            zs = items(z, 3)
+
+            def with_raw(raw, size):
+                spare = unit_of(vector([u - zs[1] * c for u, c in zip(up, zs)]))
+                y0 = F.when(size > 1e-6, vector([a / F.greatest(size, F.lit(EPS)) for a in items(raw, 3)])).otherwise(spare)
+
+                def with_x(x):
+                    y = unit_of(vector(cross(zs, items(x, 3))))
+                    rotation = let(y, lambda q: vector([m for row in zip(items(x, 3), items(q, 3), zs) for m in row]))
+                    return F.struct(vector([(a + b) / 2 for a, b in zip(t, f)]).alias("position"), rotation.alias("rotation"), width.alias("width"), ((width > 1e-6) & (size > 1e-6)).alias("valid"))
+
+                return let(let(y0, lambda q: let(vector(cross(items(q, 3), zs)), unit_of)), with_x)
+
+            return let(vector(cross(zs, [a - b for a, b in zip(f, w)])), lambda raw: let(norm(items(raw, 3)), lambda size: with_raw(raw, size)))
+
+        return let(norm(gap), lambda width: let(let(vector(gap), lambda q: let(unit_of(q), lambda u: vector([side * c for c in items(u, 3)]))), lambda z: with_z(z, width)))
+
     finger = [0.7 * a + 0.3 * b for a, b in zip(index, middle)]
-    gap = [a - b for a, b in zip(thumb, finger)]
-    width = norm(gap)
-    z = [side * g for g in unit(gap)]
-    reach = [a - b for a, b in zip(finger, wrist)]
-    raw = cross(z, reach)
-    raw_norm = norm(raw)
-    up = [F.lit(0.0), F.lit(1.0), F.lit(0.0)]
-    along = dot(up, z)
-    spare = unit([u - along * c for u, c in zip(up, z)])
-    y = [F.when(raw_norm > 1e-6, a / F.greatest(raw_norm, F.lit(EPS))).otherwise(b) for a, b in zip(raw, spare)]
-    x = unit(cross(y, z))
-    y = unit(cross(z, x))
-    rotation = [m for row in zip(x, y, z) for m in row]
-    return {"position": vector([(a + b) / 2 for a, b in zip(thumb, finger)]), "width": width, "rotation": vector(rotation), "valid": (width > 1e-6) & (raw_norm > 1e-6)}
+    return let(vector([*thumb, *finger, *wrist]), with_points)
 
 
 def gripper_action(position: Column, rotation: Column, width: Column) -> Column:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from kinelake.operators import anomalies, compaction, imputation
-from kinelake.plans import series_queries
+from kinelake.plans import frame_queries, series_queries
 
-MODULES = [compaction, anomalies, imputation, series_queries]
+MODULES = [compaction, anomalies, imputation, series_queries, frame_queries]
 
 
 def entry(spark, root):
