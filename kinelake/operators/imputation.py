@@ -186,8 +186,10 @@ def complete_keypoints(keypoints: DataFrame) -> DataFrame:
     by_rig = _packed(stats.select(rig_key.alias("k2"), "field_name", "joint", *mean), ["k2"], "m2")
     by_reference = _packed(wide.select(key.alias("k3"), "field_name", "joint", *mean), ["k3"], "m3")
     overall = wide.groupBy("field_name", "joint").agg(F.sum("n").alias("n"), *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in "xyz"])
-    overall = _packed(overall.select(F.lit("=").alias("k4"), "field_name", "joint", *mean), ["k4"], "m4")
-    out = rows.withColumns({"k1": key, "k2": rig_key, "k3": key, "k4": F.lit("=")})
+    overall = _packed(overall.select(F.pmod("joint", F.lit(1)).cast("int").alias("k4"), "field_name", "joint", *mean), ["k4"], "m4")
+    # The last key is 0 on all rows; it is computed from a column on both sides so that it stays an equi-join.
+    same = F.pmod(F.col("episode_index"), F.lit(1)).cast("int")
+    out = rows.withColumns({"k1": key, "k2": rig_key, "k3": key, "k4": same})
     for k, table in (("k1", fixed), ("k2", by_rig), ("k3", by_reference), ("k4", overall)):
         out = out.join(table, k, "left")
     for h, hand in enumerate(HANDS):
