@@ -26,8 +26,8 @@ def _states(spark, root) -> DataFrame:
 
 
 def _cells(df: DataFrame, value: str, keys=("episode", "frame_index"), digits: int = 5) -> DataFrame:
-    """Array values in long form."""
-    return df.select(*keys, F.posexplode(value).alias("i", "v")).select(*keys, F.col("i").cast("long").alias("i"), F.round("v", digits).alias("v"))
+    """Array values in long form, rounded off the ties that binary fractions make."""
+    return df.select(*keys, F.posexplode(value).alias("i", "v")).select(*keys, F.col("i").cast("long").alias("i"), F.round(F.col("v") + 1e-7, digits).alias("v"))
 
 
 # Geometry --------------------------------------------------------------------------
@@ -266,7 +266,7 @@ _QM = f"""{_KP}, qn AS (SELECT *, {_QN} AS n FROM kp WHERE {_POSE_OK}), qq AS (S
 
 
 def _unnest(source: str, value: str, digits: int = 5, keys: str = "episode, frame_index") -> str:
-    return f"SELECT {keys}, CAST(i AS BIGINT) AS i, round({value}[i + 1], {digits}) AS v FROM {source}, (SELECT unnest(range(64)) AS i) WHERE i < len({value})"
+    return f"SELECT {keys}, CAST(i AS BIGINT) AS i, round({value}[i + 1] + 1e-7, {digits}) AS v FROM {source}, (SELECT unnest(range(64)) AS i) WHERE i < len({value})"
 
 
 _INV = "[m[1], m[4], m[7], -(m[1] * {0} + m[4] * {1} + m[7] * {2}), m[2], m[5], m[8], -(m[2] * {0} + m[5] * {1} + m[8] * {2}), m[3], m[6], m[9], -(m[3] * {0} + m[6] * {1} + m[9] * {2}), 0, 0, 0, 1]".format(*[_at("p", i) for i in range(3)])
@@ -352,7 +352,7 @@ _MAT = "[x1, y1, z1, x2, y2, z2, x3, y3, z3]"
 ORACLES = {
     "rot6d_matrix": f"WITH {_LEFT}, mt AS (SELECT episode, frame_index, {_MAT} AS m FROM ro) {_unnest('mt', 'm')}",
     "rot6d_matrix_gs": f"WITH {_FR}, six AS (SELECT episode, frame_index, {_six('s', 3)} FROM fr), g1 AS (SELECT *, greatest(sqrt(a * a + b * b + c * c), 1e-8) AS n FROM six), g2 AS (SELECT *, a / n AS x1, b / n AS x2, c / n AS x3 FROM g1), g3 AS (SELECT *, x1 * d + x2 * e + x3 * f AS dp FROM g2), g4 AS (SELECT *, d - dp * x1 AS u1, e - dp * x2 AS u2, f - dp * x3 AS u3 FROM g3), g5 AS (SELECT *, greatest(sqrt(u1 * u1 + u2 * u2 + u3 * u3), 1e-8) AS k FROM g4), g6 AS (SELECT *, u1 / k AS y1, u2 / k AS y2, u3 / k AS y3 FROM g5), mt AS (SELECT episode, frame_index, [x1, y1, x2 * y3 - x3 * y2, x2, y2, x3 * y1 - x1 * y3, x3, y3, x1 * y2 - x2 * y1] AS m FROM g6) {_unnest('mt', 'm')}",
-    "canonical14": f"WITH {CANON} SELECT episode, frame_index, CAST(ch AS BIGINT) AS i, round(x, 4) AS v FROM ca WHERE ch < 14",
+    "canonical14": f"WITH {CANON} SELECT episode, frame_index, CAST(ch AS BIGINT) AS i, round(x + 1e-7, 4) AS v FROM ca WHERE ch < 14",
     "rotation_checks": f"WITH {_LEFT}, ch AS (SELECT episode, greatest(abs(x1 * x1 + y1 * y1 + z1 * z1 - 1), abs(x2 * x2 + y2 * y2 + z2 * z2 - 1), abs(x3 * x3 + y3 * y3 + z3 * z3 - 1), abs(x1 * x2 + y1 * y2 + z1 * z2), abs(x1 * x3 + y1 * y3 + z1 * z3), abs(x2 * x3 + y2 * y3 + z2 * z3)) AS e, x1 * (y2 * z3 - z2 * y3) - y1 * (x2 * z3 - z2 * x3) + z1 * (x2 * y3 - y2 * x3) AS d FROM ro) SELECT episode, round(max(e), 5) AS max_error, round(min(d), 5) AS min_det, round(max(d), 5) AS max_det FROM ch GROUP BY episode",
     "quat_matrix": f"WITH {_QM} {_unnest('qm', 'm')}",
     "matrix_quat": f"WITH {_QM}, bg AS (SELECT episode, frame_index, [w, x, y, z] AS q0 FROM qm), si AS (SELECT episode, frame_index, q0, list_max([(round(abs(v), 6), sign(v)) FOR v IN q0]) AS b FROM bg), qs AS (SELECT episode, frame_index, [v * b[2] FOR v IN q0] AS q FROM si) {_unnest('qs', 'q')}",
