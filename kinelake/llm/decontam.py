@@ -152,11 +152,28 @@ def edit_distance(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
+def _single_words(passage: list[str], text: list[str], p: int, t: int, step: int, hops: int = 2) -> list[tuple[int, int, int]]:
+    """What a chain that ends next to (p, t) can gain from single unchanged words beyond an edit: (passage words, edits,
+    text position of the last word).  ``step`` is +1 to the right, -1 to the left."""
+    out = []
+    for dp in range(4):
+        for dt in range(4):
+            q, u = p + step * dp, t + step * dt
+            if dp + dt and 0 <= q < len(passage) and 0 <= u < len(text) and passage[q] == text[u]:
+                a, b = (passage[p:q], text[t:u]) if step > 0 else (passage[q + 1 : p + 1], text[u + 1 : t + 1])
+                here = (dp + 1, edit_distance(a, b), u)
+                out.append(here)
+                if hops > 1:
+                    out += [(here[0] + n, here[1] + e, v) for n, e, v in _single_words(passage, text, q + step, u + step, step, hops - 1)]
+    return out
+
+
 def best_stretch(passage: list[str], text: list[str], least: int = LEAST, one_in: int = ONE_IN) -> tuple[int, int, int, int] | None:
     """(words, edits, first and last text position) of the longest stretch of the passage in the text that has at least
     ``least`` words and at most one edit in ``one_in``; None if there is none.
 
-    Runs of at least two words are chained in order; the gap between two runs costs its edit distance."""
+    Runs of at least two words are chained in order; the gap between two runs costs its edit distance.  At either end up
+    to two single unchanged words beyond an edit can join the chain."""
     at: dict[tuple[str, str], list[int]] = {}
     for p in range(len(passage) - 1):
         at.setdefault((passage[p], passage[p + 1]), []).append(p)
@@ -176,7 +193,7 @@ def best_stretch(passage: list[str], text: list[str], least: int = LEAST, one_in
     fronts = []
     runs.sort()
     for k, (t, p, n) in enumerate(runs):
-        front = [(n, 0, t)]
+        front = [(n, 0, t, p)]
         for m in range(k - 1, -1, -1):
             t0, p0, n0 = runs[m]
             if t - t0 - n0 > gap + 8 and t - t0 > 2 * len(passage) + 16:
@@ -188,16 +205,24 @@ def best_stretch(passage: list[str], text: list[str], least: int = LEAST, one_in
                 if te > t or pe > p or t - te > gap or p - pe > gap:
                     continue
                 cost = edit_distance(passage[pe:p], text[te:t])
-                for length, edits, start in fronts[m]:
-                    front.append((length - back + p - pe + n, edits + cost, start))
+                for length, edits, *start in fronts[m]:
+                    front.append((length - back + p - pe + n, edits + cost, *start))
         kept = []
-        for length, edits, start in sorted(front, key=lambda x: (-x[0], x[1])):
-            if all(e > edits for _, e, _ in kept):
-                kept.append((length, edits, start))
+        for x in sorted(front, key=lambda x: (-x[0], x[1])):
+            if all(y[1] > x[1] for y in kept):
+                kept.append(x)
         fronts.append(kept)
-        for length, edits, start in kept:
-            if length >= least and edits * one_in <= length and (best is None or (length, -edits) > (best[0], -best[1])):
-                best = (length, edits, start, t + n - 1)
+        right = None
+        for length, edits, t0, p0 in kept:
+            ends = [(length, edits, t0, t + n - 1)]
+            # Ends matter where they can lift a chain over the bar; every edit needs ``one_in`` words.
+            if length + 16 >= least and (length < least or edits * one_in > length):
+                right = _single_words(passage, text, p + n, t + n, 1) if right is None else right
+                left = _single_words(passage, text, p0 - 1, t0 - 1, -1)
+                ends += [(length + a + b, edits + c + d, u, v) for a, c, v in [(0, 0, t + n - 1), *right] for b, d, u in [(0, 0, t0), *left] if a or b]
+            for x in ends:
+                if x[0] >= least and x[1] * one_in <= x[0] and (best is None or (x[0], -x[1]) > (best[0], -best[1])):
+                    best = x
     return best
 
 

@@ -62,9 +62,9 @@ def collapse_rests(frames: DataFrame, epsilon: float = EPSILON, least: int = 3)
     unkeyed = frames.where("episode_index is null or frame_index is null")
     # A rest is looked up by the blocks of frames it touches: an equi-join, a row meets only the rests of its block.
     span = 64
-    touched = found.withColumn("_at", F.explode(F.sequence(F.floor(F.col("first_frame") / span), F.floor(F.col("last_frame") / span)))).select(F.col("episode_index").alias("_e"), "_at", "first_frame", "last_frame", F.col("n_frames").alias("_n"), F.col("duration_s").alias("_d"))
-    inside = (F.col("episode_index") == F.col("_e")) & (F.floor(F.col("frame_index") / span) == F.col("_at")) & F.col("frame_index").between(F.col("first_frame"), F.col("last_frame"))
-    rows = keyed.join(touched, inside, "left").where("first_frame is null or frame_index = first_frame")
+    touched = found.withColumn("_at", F.explode(F.sequence(F.floor(F.col("first_frame") / span), F.floor(F.col("last_frame") / span)))).select(F.col("episode_index").alias("_e"), "_at", F.col("first_frame").alias("_first"), F.col("last_frame").alias("_last"), F.col("n_frames").alias("_n"), F.col("duration_s").alias("_d"))
+    inside = (F.col("episode_index") == F.col("_e")) & (F.floor(F.col("frame_index") / span) == F.col("_at")) & F.col("frame_index").between(F.col("_first"), F.col("_last"))
+    rows = keyed.join(touched, inside, "left").where("_first is null or frame_index = _first")
     n, d = F.coalesce("_n", F.lit(1)).cast("long"), F.when(F.col("_n").isNull(), 0.0).otherwise(F.col("_d"))
     rows = rows.withColumn("rest_frames", n).withColumn("rest_duration_s", d)
     names = [*[c for c in frames.columns if c not in ("rest_frames", "rest_duration_s")], "rest_frames", "rest_duration_s"]
