@@ -231,7 +231,7 @@ def retarget(thumb: list[Column], index: list[Column], middle: list[Column], wri
     fields apart with ``F.inline(F.array(...))``, which computes them once."""
 
     def unit_of(a, floor=EPS):
-        return let(F.greatest(norm(items(a, 3)), F.lit(floor)), lambda n: vector([q / n for q in items(a, 3)]))
+        return let(F.greatest(norm(items(a, 3)), F.lit(floor)), lambda n: vector([F.try_divide(q, n) for q in items(a, 3)]))
 
     def with_points(p):
         t, f, w = items(p, 3), items(p, 3, 3), items(p, 3, 6)
@@ -243,7 +243,7 @@ def retarget(thumb: list[Column], index: list[Column], middle: list[Column], wri
 
             def with_raw(raw, size):
                 spare = unit_of(vector([u - zs[1] * c for u, c in zip(up, zs)]))
-                y0 = F.when(size > 1e-6, vector([a / F.greatest(size, F.lit(EPS)) for a in items(raw, 3)])).otherwise(spare)
+                y0 = F.when(size > 1e-6, vector([F.try_divide(a, F.greatest(size, F.lit(EPS))) for a in items(raw, 3)])).otherwise(spare)
 
                 def with_x(x):
                     y = unit_of(vector(cross(zs, items(x, 3))))
