@@ -61,12 +61,14 @@ class Automaton:
         self.number: dict[str, int] = {}
         self.go: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
+        self.items: list[list[int]] = []
         ends: list[tuple[int, int, int]] = []
         for k, (_, tokens) in enumerate(items):
             last = 0
             for p, w in enumerate(tokens):
                 last = self._extend(last, self.number.setdefault(w, len(self.number)))
                 ends.append((last, k, p))
+            self.items.append([self.number[w] for w in tokens])
         self.ends: dict[int, list[tuple[int, int]]] = {}
         for state, k, p in ends:
             while state > 0 and self.length[state] >= SEED:
@@ -104,41 +106,33 @@ class Automaton:
         return copy
 
     def matches(self, tokens: list[str]):
-        """(item, position in the item, position in the text, length) of the maximal matches of at least ``SEED`` words."""
-        number, go, link, length = self.number.get, self.go, self.link, self.length
+        """(item, position in the item, position in the text, length) of the maximal matches of at least ``SEED`` words.
+
+        A match of one item can end inside a longer one of another, so every item that ends at a word is compared with
+        the next word of the text, not only where the longest match breaks."""
+        number, go, link, length, items = self.number.get, self.go, self.link, self.length, self.items
+        numbers = [number(w) for w in tokens]
         state, run = 0, 0
-        found = []
-        for i, w in enumerate(tokens):
-            c = number(w)
-            if c is None:
-                if run >= SEED:
-                    found.append((i - 1, state, run))
-                state, run = 0, 0
-                continue
-            step = go[state].get(c)
-            if step is None:
-                if run >= SEED:
-                    found.append((i - 1, state, run))
-                while state > 0 and step is None:
-                    state = link[state]
-                    step = go[state].get(c)
-                if step is None:
-                    state, run = 0, 0
-                    continue
+        for i, c in enumerate(numbers):
+            step = None
+            while c is not None and (step := go[state].get(c)) is None and state > 0:
+                state = link[state]
                 run = length[state]
-            state, run = step, run + 1
-        if run >= SEED:
-            found.append((len(tokens) - 1, state, run))
-        for i, state, run in found:
+            state, run = (0, 0) if step is None else (step, run + 1)
+            if run < SEED:
+                continue
+            after = numbers[i + 1] if i + 1 < len(numbers) else None
             # The states above on the suffix links hold the items with which only the end of the match is shared.
             seen = set()
-            while state > 0 and length[state] >= SEED:
-                for k, p in self.ends.get(state, ()):
+            u, n = state, run
+            while u > 0 and length[u] >= SEED:
+                for k, p in self.ends.get(u, ()):
                     if (k, p) not in seen:
                         seen.add((k, p))
-                        n = min(run, length[state])
-                        yield k, p - n + 1, i - n + 1, n
-                state = link[state]
+                        if after is None or p + 1 == len(items[k]) or items[k][p + 1] != after:
+                            yield k, p - n + 1, i - n + 1, n
+                u = link[u]
+                n = length[u]
 
 
 def edit_distance(a: list[str], b: list[str]) -> int:

@@ -75,3 +75,17 @@ def test_cut(spark):
     docs = spark.createDataFrame([(0, P), (1, "a b c d e f g h " * 20 + P), (2, "clean")], "doc_id long, text string")
     leaks = d.leaked_passages(docs, spark.createDataFrame(ITEMS, "item_id long, passage string"))
     assert {r["doc_id"]: r["leak_action"] for r in d.cut_leaks(docs, leaks).collect()} == {0: "drop", 1: "cut", 2: None}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), min_size=10, max_size=30), st.lists(st.tuples(st.integers(0, 20), st.integers(5, 20)), min_size=1, max_size=4))
+def test_automaton_names_every_item(text, cuts):
+    items = [text[a : a + n] + ["e"] for a, n in cuts]
+    got = {(k, p + i, t + i) for k, p, t, n in d.Automaton(list(enumerate(items))).matches(text) for i in range(n - d.SEED + 1)}
+    want = {(k, p, t) for k, item in enumerate(items) for t in range(len(text) - d.SEED + 1) for p in range(len(item) - d.SEED + 1) if item[p : p + d.SEED] == text[t : t + d.SEED]}
+    assert got == want
+
+
+def test_items_inside_a_longer_item(spark):
+    w = P.split()
+    assert found(spark, ["so " + P + " it was"], [(1, P), (2, " ".join(w[:30])), (3, " ".join(w[8:28])), (4, " ".join(w[-16:]))]) == {(0, 1), (0, 2), (0, 3), (0, 4)}
