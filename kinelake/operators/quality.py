@@ -302,6 +302,23 @@ def _clustered(rows: DataFrame, least: int) -> DataFrame:
     return rows.withColumn("s1_flags", F.array(*out)).drop(*[f"_w{c}" for c in range(2 * DIMS)])
 
 
+def _cluster_reasons(masks: DataFrame, config: QualityConfig) -> DataFrame:
+    """(episode, reasons): per channel the first run of at least ``episode_cluster`` flagged frames in which the channel
+    jumps by at least ``cluster_jump`` from one frame to the next, in the order of the channels (state, then action).
+
+    Only flagged (episode, channel, t) cells are shuffled."""
+    cells = masks.select("episode", "t", F.explode(F.filter(F.transform(F.arrays_zip("s1_flags", F.concat("state", "action").alias("x")), lambda v, c: F.struct(c.alias("channel"), v["s1_flags"].alias("flag"), v["x"].alias("x"))), lambda v: v["flag"])).alias("v")).select("episode", "t", "v.channel", "v.x")
+    w = Window.partitionBy("episode", "channel").orderBy("t")
+    run = F.col("t") - F.row_number().over(w)
+    jump = F.when(F.lag("t").over(w) == F.col("t") - 1, F.abs(F.col("x") - F.lag("x").over(w)))
+    runs = cells.withColumn("_run", run).withColumn("_jump", jump).groupBy("episode", "channel", "_run").agg(F.count("*").alias("n"), F.max("_jump").alias("_jump"), F.count(F.when(F.isnan("_jump"), 1)).alias("_nan"))
+    # As in numpy, a NaN makes the greatest jump NaN, which reaches nothing.
+    long = runs.where((F.col("n") >= config.episode_cluster) & (F.col("_nan") == 0) & (F.col("_jump") >= config.cluster_jump))
+    first = long.groupBy("episode", "channel").agg(F.min_by("n", "_run").alias("n"))
+    named = first.groupBy("episode").agg(F.sort_array(F.collect_list(F.struct("channel", "n"))).alias("_c"))
+    return named.select("episode", F.transform("_c", lambda v: F.format_string("sudden_change_cluster_dim%d_len%d", v["channel"], v["n"])).alias("s1_clusters"))
+
+
 def stage2_decision(config: QualityConfig = QualityConfig()) -> tuple[Column, Column, Column]:
     """(mean score or null, discard, low dimensions) from the ``da`` of :func:`with_features`."""
     scored = F.filter("da", lambda x: ~F.isnan(x))
@@ -382,12 +399,13 @@ def episode_results(masks: DataFrame, config: QualityConfig = QualityConfig()) -
         flagged.alias("stage1_flagged"), F.max("s1_hard").alias("stage1_hard_limit"), F.first("da_mean").alias("stage2_da_mean"), F.max("s2_discard").alias("s2_discard"), F.first("da_low").alias("da_low"),
         count("s3_bad").alias("stage3_excluded_frames"), count("s4_remove").alias("stage4_removed_frames"), *[F.max(h).alias(h) for h in HARD],
     )
+    r = r.join(_cluster_reasons(masks, config), "episode", "left")
     short = F.col("kept_frames") < config.min_episode_length
     left = F.col("num_frames") - F.col("stage3_excluded_frames")
     names = {"hard_state_joint": "hard_limit_state_joint", "hard_action_joint": "hard_limit_action_joint", "hard_state_xyz": "hard_limit_state_xyz", "hard_state_rpy": "hard_limit_state_rpy", "hard_state_gripper": "hard_limit_state_gripper", "hard_action_gripper": "hard_limit_action_gripper"}
-    reasons = F.array_compact(
+    hard = F.array_compact(F.array(*[F.when(F.col(h), n) for h, n in names.items()]))
+    others = F.array_compact(
         F.array(
-            *[F.when(F.col(h), n) for h, n in names.items()],
             F.when(F.col("s2_discard") & (F.col("stage2_da_mean") < config.da_mean), F.format_string(f"stage2:da_episode_mean=%.4f<{config.da_mean}", F.col("stage2_da_mean"))),
             F.when(F.size("da_low") > 0, F.concat(F.lit("stage2:da_low_dims=["), F.array_join(F.col("da_low").cast("array<string>"), ", "), F.lit("]"))),
             F.when(~F.col("s2_discard") & (left < config.min_episode_length), F.concat(F.lit("stage3:remaining_frames="), left.cast("string"), F.lit(f"<{config.min_episode_length}"))),
@@ -395,7 +413,8 @@ def episode_results(masks: DataFrame, config: QualityConfig = QualityConfig()) -
             F.when(F.col("first_abnormal_frame") >= 0, F.concat(F.lit("first_removed_frame="), F.col("first_abnormal_frame").cast("string"))),
         )
     )
-    return r.withColumn("low_valid_prefix", short).withColumn("discard", F.lit(config.discard_short) & short).withColumn("discard_reasons", reasons).drop(*HARD, "s2_discard", "da_low")
+    reasons = F.concat(hard, F.coalesce("s1_clusters", F.array().cast("array<string>")), others)
+    return r.withColumn("low_valid_prefix", short).withColumn("discard", F.lit(config.discard_short) & short).withColumn("discard_reasons", reasons).drop(*HARD, "s2_discard", "da_low", "s1_clusters")
 
 
 def quality_report(results: DataFrame) -> DataFrame:
