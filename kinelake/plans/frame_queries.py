@@ -210,17 +210,26 @@ def orphan_episodes(spark, root):
     return read_table(spark, root, "episodes").select("episode_index").distinct().join(_frames(spark, root).select("episode_index").distinct(), "episode_index", "left_anti")
 
 
-def pooled_frame_agreement(spark, root):
-    """The episode filter's directional agreement of state and action over all 20 channels (lags up to 2)."""
+def _pooled_agreement(spark, root, max_lag: int) -> DataFrame:
     rows = _frames(spark, root).where("action is not null").select(F.col("episode_index").alias("episode"), "frame_index", F.col("`observation.state`").alias("s"), F.col("action").alias("a"))
     rows = once(rows, ["episode"], ["frame_index"])
     axis = Axis(("episode", "channel"), ("frame_index",))
     long = rows.select("episode", "frame_index", F.posexplode(F.arrays_zip("s", "a")).alias("channel", "v")).select("episode", "frame_index", "channel", F.col("v.s").cast("double").alias("state"), F.col("v.a").cast("double").alias("action"))
-    a = alignment.pooled_agreement(alignment.differences(long, axis, "state", "action", smooth=False), axis, ["episode"], 2)
+    a = alignment.pooled_agreement(alignment.differences(long, axis, "state", "action", smooth=False), axis, ["episode"], max_lag)
     return a.select("episode", "lag", F.round("score", 6).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, episode_decision, filter_flagged, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement)}
+def pooled_frame_agreement(spark, root):
+    """The episode filter's directional agreement of state and action over all 20 channels, lags up to 2 only."""
+    return _pooled_agreement(spark, root, 2)
+
+
+def pooled_frame_agreement_full(spark, root):
+    """The same over the filter's whole range of lags (up to 10)."""
+    return _pooled_agreement(spark, root, FILTER.max_lag)
+
+
+QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, episode_decision, filter_flagged, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement, pooled_frame_agreement_full)}
 
 # SQL -------------------------------------------------------------------------------------------
 
@@ -382,3 +391,5 @@ ORACLES = {
     "orphan_episodes": "SELECT DISTINCT episode_index FROM episodes WHERE episode_index NOT IN (SELECT episode_index FROM frames WHERE episode_index IS NOT NULL)",
     "pooled_frame_agreement": f"WITH {_FR}, fa AS (SELECT * FROM fr WHERE raw IS NOT NULL), fo AS (SELECT episode, row_number() OVER (PARTITION BY episode, i ORDER BY frame_index) AS k, i, CAST(s[i + 1] AS DOUBLE) AS x, CAST(raw[i + 1] AS DOUBLE) AS y FROM fa, range(20) g(i)), df AS (SELECT episode, i, k, x - lag(x) OVER w AS ds, y - lag(y) OVER w AS da FROM fo WINDOW w AS (PARTITION BY episode, i ORDER BY k)), dd AS (SELECT * FROM df WHERE ds IS NOT NULL), sc AS (SELECT a.episode, CAST(l AS BIGINT) AS lag, round(avg(CASE WHEN sign(a.ds) = sign(b.da) THEN 1.0::DOUBLE ELSE 0 END), 12) AS score FROM dd a CROSS JOIN range(-2, 3) h(l) JOIN dd b ON b.episode = a.episode AND b.i = a.i AND b.k = a.k + l GROUP BY ALL) SELECT episode, arg_max(lag, (score, -lag)) AS lag, round(max(score), 6) AS score FROM sc GROUP BY episode",
 }
+# The whole range of lags: as the narrow query's SQL, from -10 to 10.
+ORACLES["pooled_frame_agreement_full"] = ORACLES["pooled_frame_agreement"].replace("range(-2, 3)", "range(-10, 11)")

@@ -313,10 +313,17 @@ def s2_decision(spark, root):
 
 
 def c_directional_agreement(spark, root):
+    """The episode filter's agreement, lags up to 5 only."""
     d = alignment.differences(_pairs(spark, root), ONE, "state", "action", smooth=False)
     return _rounded(alignment.pooled_agreement(d, ONE, ["episode"], 5), "score")
 
 
+def c_directional_agreement_full(spark, root):
+    """The same over the filter's whole range of lags (up to 10)."""
+    d = alignment.differences(_pairs(spark, root), ONE, "state", "action", smooth=False)
+    return _rounded(alignment.pooled_agreement(d, ONE, ["episode"]), "score")
+
+
 PAIRS = f"{EV}, pa AS (SELECT episode, frame, value AS state, coalesce(lead(value, 2) OVER (PARTITION BY episode ORDER BY frame), value) AS action FROM ev)"
 _SM = f"{PAIRS}, ps AS (SELECT episode, frame, 0 AS channel, state AS x FROM pa UNION ALL SELECT episode, frame, 1, action FROM pa), pm AS (SELECT *, {MED5} AS m, count(*) OVER (PARTITION BY episode, channel) AS n FROM ps {W}), pt AS (SELECT *, CASE WHEN n >= 11 THEN {sql_fir('m', SG)} / 429 ELSE m END AS t FROM pm {W}), pd AS (SELECT episode, frame, channel, t - lag(t) OVER w AS d FROM pt {W}), df AS (SELECT a.episode, a.frame, a.d AS ds, b.d AS da FROM pd a JOIN pd b USING (episode, frame) WHERE a.channel = 0 AND b.channel = 1 AND a.d IS NOT NULL)"
 _Z = f"{_SM}, zz AS (SELECT *, (ds - avg(ds) OVER p) / (stddev_pop(ds) OVER p + 1e-8) AS zs, (da - avg(da) OVER p) / (stddev_pop(da) OVER p + 1e-8) AS za FROM df WINDOW p AS (PARTITION BY episode)), lg AS (SELECT CAST(l AS BIGINT) AS lag FROM range(-5, 6) t(l)), nn AS (SELECT episode, count(*) AS n FROM df GROUP BY episode), co AS (SELECT a.episode, lg.lag, round(sum(a.zs * b.za) / any_value(n), 9) AS corr FROM zz a CROSS JOIN lg JOIN zz b ON b.episode = a.episode AND b.frame = a.frame - lg.lag JOIN nn ON nn.episode = a.episode GROUP BY ALL), bl AS (SELECT episode, any_value(n) AS n, CASE WHEN any_value(n) >= 15 THEN arg_max(lag, (corr, -lag)) ELSE 0 END AS lag, CASE WHEN any_value(n) >= 15 THEN max(corr) END AS corr FROM co JOIN nn USING (episode) GROUP BY episode), dx AS (SELECT a.episode, any_value(bl.lag) AS lag, CAST(count(*) FILTER (abs(a.ds) > 1e-4 AND abs(b.da) > 1e-4) AS BIGINT) AS n_active, avg(CASE WHEN sign(a.ds) = sign(b.da) THEN 1.0 ELSE 0.0 END) FILTER (abs(a.ds) > 1e-4 AND abs(b.da) > 1e-4) AS score FROM df a JOIN bl USING (episode) LEFT JOIN df b ON b.episode = a.episode AND b.frame = a.frame - bl.lag GROUP BY a.episode)"
@@ -381,7 +388,7 @@ def cut_list(spark, root):
     return s.select("episode", F.col("run_start").alias("cut_start"), (F.col("run_end") + 1).alias("cut_end"))
 
 
-QUERIES = {f.__name__: f for f in (s3_band_prefix, s3_band_dims, prefix_mask, violation_scores, hist_quantiles, thr_global_hybrid, sudden_global, thr_episode_hybrid, sudden_episode_mean, median5, savgol11, moving_avg11, gradient_accel_jerk, ndiff_padded, plain_diffs, residual_features, startup_exclude, startup_grace, cluster_filter, cluster_jump, longest_run, mask_spans, renumber_frames, global_index, segment_split, timestamp_regrid, forward_fill, delta_integrate, flagged_cap, s2_best_lag, s2_direction_agreement, s2_decision, c_directional_agreement, feature_stats, stats_of_stats, position_histogram, first_abnormal_cause, exclusion_summary, distribution_histogram, exceed_counts, normalize_q01_q99, cut_list)}
+QUERIES = {f.__name__: f for f in (s3_band_prefix, s3_band_dims, prefix_mask, violation_scores, hist_quantiles, thr_global_hybrid, sudden_global, thr_episode_hybrid, sudden_episode_mean, median5, savgol11, moving_avg11, gradient_accel_jerk, ndiff_padded, plain_diffs, residual_features, startup_exclude, startup_grace, cluster_filter, cluster_jump, longest_run, mask_spans, renumber_frames, global_index, segment_split, timestamp_regrid, forward_fill, delta_integrate, flagged_cap, s2_best_lag, s2_direction_agreement, s2_decision, c_directional_agreement, c_directional_agreement_full, feature_stats, stats_of_stats, position_histogram, first_abnormal_cause, exclusion_summary, distribution_histogram, exceed_counts, normalize_q01_q99, cut_list)}
 
 _START = f"WITH {SE}, fm AS (SELECT episode, channel, min(frame) FILTER (abs(x) > 60) AS first FROM se GROUP BY ALL) SELECT episode, channel, CAST(sum(CASE WHEN first IS NULL OR frame < first + {{}} THEN 1 ELSE 0 END) AS BIGINT) AS n_startup FROM se JOIN fm USING (episode, channel) GROUP BY ALL"
 _MA = " + ".join(sql_at("m", k) for k in range(-5, 6))
@@ -430,3 +437,5 @@ ORACLES = {
     "normalize_q01_q99": f"WITH {BAND} SELECT episode, frame, channel, round(CASE WHEN q9 - q1 > 1e-12 THEN 2 * (x - q1) / (q9 - q1) - 1 ELSE 0 END, 6) AS normalised FROM se JOIN bo USING (channel)",
     "cut_list": f"WITH {BAND}, ok AS (SELECT episode, frame, frame - row_number() OVER (PARTITION BY episode ORDER BY frame) AS isle FROM fb WHERE NOT bad) SELECT episode, min(frame) AS cut_start, max(frame) + 1 AS cut_end FROM ok GROUP BY episode, isle",
 }
+# The whole range of lags: as the narrow query's SQL, from -10 to 10.
+ORACLES["c_directional_agreement_full"] = ORACLES["c_directional_agreement"].replace("range(-5, 6)", "range(-10, 11)")
