@@ -170,6 +170,12 @@ def filter_flagged(spark, root):
     return j.groupBy("episode").agg(*[F.sum(F.col(c).cast("long")).alias(c) for c in ("stage1", "stage3", "low_confidence", "bad")]).where("bad > 0")
 
 
+def filter_flagged_cap(spark, root):
+    """The report's flagged frames: the first 200 bad frames of each episode."""
+    f = episode_filter.flagged_frames(episode_filter.judged_frames(_frames(spark, root)))
+    return f.select("episode", "frame_index", "stage1", "stage3", "low_confidence")
+
+
 def extreme_bounds(spark, root):
     b = episode_filter.extreme_bounds(episode_filter.filter_frames(_frames(spark, root)))
     return b.select(F.col("channel").cast("long").alias("channel"), F.round("lower", 5).alias("lower"), F.round("upper", 5).alias("upper"))
@@ -229,7 +235,7 @@ def pooled_frame_agreement_full(spark, root):
     return _pooled_agreement(spark, root, FILTER.max_lag)
 
 
-QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, episode_decision, filter_flagged, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement, pooled_frame_agreement_full)}
+QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, episode_decision, filter_flagged, filter_flagged_cap, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement, pooled_frame_agreement_full)}
 
 # SQL -------------------------------------------------------------------------------------------
 
@@ -393,3 +399,4 @@ ORACLES = {
 }
 # The whole range of lags: as the narrow query's SQL, from -10 to 10.
 ORACLES["pooled_frame_agreement_full"] = ORACLES["pooled_frame_agreement"].replace("range(-2, 3)", "range(-10, 11)")
+ORACLES["filter_flagged_cap"] = f"WITH {_FILT} SELECT episode, frame_index, s1 AS stage1, s3 AS stage3, cb AS low_confidence FROM (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY frame_index) AS i FROM ju WHERE bad) WHERE i <= 200"

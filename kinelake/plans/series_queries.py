@@ -284,7 +284,8 @@ def delta_integrate(spark, root):
 
 
 def flagged_cap(spark, root):
-    """At most five flagged frames per episode and channel, the first ones: the report's own limit."""
+    """At most five flagged frames per episode and channel, the first ones.  The report's own limit of 200 per episode is
+    in ``filter_flagged_cap``."""
     s = series(spark, root).where("x > 50")
     i = F.row_number().over(MANY.rows)
     return s.withColumn("i", i).where("i <= 5").select("episode", "channel", "frame")
