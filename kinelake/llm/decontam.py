@@ -14,6 +14,7 @@ documents are scanned once per automaton.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import html
 import re
@@ -26,7 +27,8 @@ SEED = 5
 LEAST = 16
 ONE_IN = 8
 MAX_CHARS = 16 << 20
-FOUND = "doc_id long, item_id long, n_words long, n_edits long, first_word long, last_word long, n_doc_words long"
+STRETCHES = "array<struct<first_word:long,last_word:long,first_char:long,end_char:long>>"
+FOUND = f"doc_id long, item_id long, n_words long, n_edits long, first_word long, last_word long, n_doc_words long, stretches {STRETCHES}"
 
 _WORD = re.compile(r"[^\W_]+(?:['’ʼ‘`´][^\W_]+)*")
 _APOSTROPHE = re.compile(r"['’ʼ‘`´]")
@@ -54,6 +56,57 @@ def words(text: str | None) -> list[str]:
     return [_APOSTROPHE.sub("", w) if not w.isalnum() else w for w in out]
 
 
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
+#: A character below 128 never joins with what stands before it.
+_PIECES = re.compile(r"[\x00-\x7f][^\x00-\x7f]*|[^\x00-\x7f]+")
+
+
+def word_spans(text: str | None) -> list[tuple[int, int]]:
+    """Start and end in ``text`` of every word of :func:`words`; the same steps, with the origin of every character."""
+    if not text:
+        return []
+    chars, at = text, [(i, i + 1) for i in range(len(text))]
+
+    def put(pattern, new):
+        nonlocal chars, at
+        out, origin, upto = [], [], 0
+        for m in pattern.finditer(chars):
+            a, b = m.span()
+            w = new(m.group())
+            out += [chars[upto:a], w]
+            origin += at[upto:a] + [(at[a][0], at[b - 1][1])] * len(w)
+            upto = b
+        chars, at = "".join([*out, chars[upto:]]), origin + at[upto:]
+
+    if "&" in chars:
+        put(_REFERENCE, html.unescape)
+    if "<" in chars:
+        put(_INLINE, lambda _: "")
+        put(_TAG, lambda _: " ")
+    if not chars.isascii():
+        out, origin = [], []
+        for m in _PIECES.finditer(chars):
+            whole, groups, i = unicodedata.normalize("NFKC", m.group()), [], m.start()
+            for c in m.group():
+                groups.append([c, *at[i]]) if not groups or not unicodedata.combining(c) else groups.__setitem__(-1, [groups[-1][0] + c, groups[-1][1], at[i][1]])
+                i += 1
+            groups = [(unicodedata.normalize("NFKC", c), x, y) for c, x, y in groups]
+            if "".join(c for c, _, _ in groups) != whole:
+                groups = [(whole, at[m.start()][0], at[m.end() - 1][1])]
+            out += [c for c, _, _ in groups]
+            origin += [(x, y) for c, x, y in groups for _ in c]
+        chars, at = "".join(out), origin
+        put(_INVISIBLE, lambda _: "")
+    if "\n" in chars:
+        put(_HYPHENATED, lambda _: "")
+    out, origin = [], []
+    for c, o in zip(chars, at):
+        folded = c.casefold()
+        out.append(folded)
+        origin += [o] * len(folded)
+    return [(origin[m.start()][0], origin[m.end() - 1][1]) for m in _WORD.finditer("".join(out))]
+
+
 class Automaton:
     """Generalised suffix automaton over word numbers; every state of at least ``SEED`` words knows where it ends."""
 
@@ -163,8 +216,13 @@ def _single_words(passage: list[str], text: list[str], p: int, t: int, step: int
 
 
 def best_stretch(passage: list[str], text: list[str], least: int = LEAST, one_in: int = ONE_IN) -> tuple[int, int, int, int] | None:
-    """(words, edits, first and last text position) of the longest stretch of the passage in the text that has at least
-    ``least`` words and at most one edit in ``one_in``; None if there is none.
+    """The longest of :func:`stretches`; None if there is none."""
+    return next(iter(stretches(passage, text, least, one_in)), None)
+
+
+def stretches(passage: list[str], text: list[str], least: int = LEAST, one_in: int = ONE_IN) -> list[tuple[int, int, int, int]]:
+    """(words, edits, first and last text position) of the stretches of the passage in the text that have at least
+    ``least`` words and at most one edit in ``one_in``: the longest, then the longest that does not touch it, and so on.
 
     Runs of at least two words are chained in order; the gap between two runs costs its edit distance.  At either end up
     to two single unchanged words beyond an edit can join the chain."""
@@ -183,7 +241,7 @@ def best_stretch(passage: list[str], text: list[str], least: int = LEAST, one_in
             here[p] = r
         open_runs = here
     gap = max(4, len(passage) // one_in + 2)
-    best = None
+    good = set()
     fronts = []
     runs.sort()
     for k, (t, p, n) in enumerate(runs):
@@ -215,9 +273,16 @@ def best_stretch(passage: list[str], text: list[str], least: int = LEAST, one_in
                 left = _single_words(passage, text, p0 - 1, t0 - 1, -1)
                 ends += [(length + a + b, edits + c + d, u, v) for a, c, v in [(0, 0, t + n - 1), *right] for b, d, u in [(0, 0, t0), *left] if a or b]
             for x in ends:
-                if x[0] >= least and x[1] * one_in <= x[0] and (best is None or (x[0], -x[1]) > (best[0], -best[1])):
-                    best = x
-    return best
+                if x[0] >= least and x[1] * one_in <= x[0]:
+                    good.add(x)
+    chosen: list[tuple[int, int]] = []
+    out = []
+    for x in sorted(good, key=lambda x: (-x[0], x[1], x[2], x[3])):
+        i = bisect.bisect(chosen, (x[2], x[3]))
+        if (i == 0 or chosen[i - 1][1] < x[2]) and (i == len(chosen) or x[3] < chosen[i][0]):
+            chosen.insert(i, (x[2], x[3]))
+            out.append(x)
+    return out
 
 
 _BUILT: dict[str, tuple[Automaton, list]] = {}
@@ -231,30 +296,53 @@ def _automaton(key: str, items: list[tuple[int, str]]):
     return _BUILT[key]
 
 
+def _hits(machine: Automaton, passages: list, tokens: list[str], least: int, one_in: int) -> dict[int, list[tuple[int, int, int, int]]]:
+    near: dict[int, list[int]] = {}
+    for k, _, t, n in machine.matches(tokens):
+        lo, hi = near.get(k, (t, t + n))
+        near[k] = (min(lo, t), max(hi, t + n))
+    out = {}
+    for k, (lo, hi) in near.items():
+        around = 2 * len(passages[k][1])
+        base = max(0, lo - around)
+        if hit := stretches(passages[k][1], tokens[base : hi + around], least, one_in):
+            out[k] = [(n, e, base + a, base + b) for n, e, a, b in hit]
+    return out
+
+
 def _scan(key: str, items, least: int, one_in: int, batches):
     machine, passages = _automaton(key, items)
     for batch in batches:
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             tokens = words(text)
-            near: dict[int, list[int]] = {}
-            for k, _, t, n in machine.matches(tokens):
-                lo, hi = near.get(k, (t, t + n))
-                near[k] = (min(lo, t), max(hi, t + n))
-            for k, (lo, hi) in near.items():
-                item, passage = passages[k]
-                around = 2 * len(passage)
-                base = max(0, lo - around)
-                hit = best_stretch(passage, tokens[base : hi + around], least, one_in)
-                if hit:
-                    rows.append((doc, item, hit[0], hit[1], base + hit[2], base + hit[3], len(tokens)))
+            hits = _hits(machine, passages, tokens, least, one_in)
+            if not hits:
+                continue
+            spans = {k: [(a, b) for _, _, a, b in hit] for k, hit in hits.items()}
+            # Until nothing is left, also where the text closes up over a cut; what only then arises goes to the first item.
+            left, more = list(range(len(tokens))), spans
+            while more:
+                gone = {i for span in more.values() for a, b in span for i in range(a, b + 1)}
+                left = [i for i in left if i not in gone]
+                more = {k: [(left[a], left[b]) for _, _, a, b in hit] for k, hit in _hits(machine, passages, [tokens[i] for i in left], least, one_in).items()}
+                for k, span in more.items():
+                    spans[k if k in spans else next(iter(spans))] += span
+            at = word_spans(text)
+            for k, hit in hits.items():
+                n, e, a, b = hit[0]
+                cut = [{"first_word": x, "last_word": y, "first_char": at[x][0], "end_char": at[y][1]} for x, y in sorted(spans[k])]
+                rows.append((doc, passages[k][0], n, e, a, b, len(tokens), cut))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "item_id", "n_words", "n_edits", "first_word", "last_word", "n_doc_words"])
+            *numbers, cuts = zip(*rows)
+            kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("first_word", "last_word", "first_char", "end_char")]))
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in numbers], pa.array(cuts, kind)], names=["doc_id", "item_id", "n_words", "n_edits", "first_word", "last_word", "n_doc_words", "stretches"])
 
 
 def leaked_passages(documents: DataFrame, items: DataFrame, least: int = LEAST, one_in: int = ONE_IN, max_chars: int = MAX_CHARS) -> DataFrame:
     """One row per document and item whose passage the document holds, whole or in part, with the longest such stretch:
-    its words, edits, first and last word in the document, and the document's words (for coverage).
+    its words, edits, first and last word in the document, the document's words (for coverage), and ``stretches``: all
+    that a cut takes out for the item, by words and by characters of the text (``end_char`` excluded).
 
     Null or empty texts and passages match nothing; passages shorter than ``least`` words cannot match.  A document or
     item delivered several times gives one row.  Whole texts are scanned; other columns are ignored."""
@@ -269,7 +357,7 @@ def leaked_passages(documents: DataFrame, items: DataFrame, least: int = LEAST,
         one = docs.mapInArrow(_scanner(key, held, least, one_in), FOUND)
         out = one if out is None else out.unionByName(one)
     # A few rows: one per leak.
-    return out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_words", "n_edits", "first_word", "last_word", "n_doc_words"), F.struct("n_words", -F.col("n_edits"), -F.col("first_word"))).alias("s")).select("doc_id", "item_id", "s.*")
+    return out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_words", "n_edits", "first_word", "last_word", "n_doc_words", "stretches"), F.struct("n_words", -F.col("n_edits"), -F.col("first_word"))).alias("s")).select("doc_id", "item_id", "s.*")
 
 
 def _scanner(key, held, least, one_in):
@@ -278,11 +366,20 @@ def _scanner(key, held, least, one_in):
 
 def cut_leaks(documents: DataFrame, leaks: DataFrame, max_coverage: float = 0.5) -> DataFrame:
     """Documents with ``leak_action``: ``drop`` where leaked spans cover more than ``max_coverage`` of the words, ``cut``
-    with the spans in ``leak_spans`` where they cover less, null where there is no leak."""
-    spans = leaks.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("first_word", "last_word"))).alias("leak_spans"), F.max("n_doc_words").alias("_n"))
-    merged = F.aggregate("leak_spans", F.struct(F.lit(0).cast("long").alias("covered"), F.lit(-1).cast("long").alias("upto")), lambda acc, s: F.struct((acc["covered"] + F.greatest(F.lit(0), s["last_word"] - F.greatest(s["first_word"] - 1, acc["upto"]))).alias("covered"), F.greatest(acc["upto"], s["last_word"]).alias("upto")))
+    with the spans in ``leak_spans`` where they cover less, null where there is no leak.  ``cut_text`` is the text without
+    the characters of the spans (markup inside them goes too), the text itself where there is no leak, null for ``drop``.
+
+    A ``doc_id`` stands for one text.  Where the items fill several automata, what arises only as the text closes up over
+    a passage of another automaton is not cut."""
+    spans = leaks.groupBy("doc_id").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("stretches")))).alias("leak_spans"), F.max("n_doc_words").alias("_n"))
+    start = F.struct(F.lit(0).cast("long").alias("covered"), F.lit(-1).cast("long").alias("upto"))
+    merged = F.aggregate("leak_spans", start, lambda acc, s: F.struct((acc["covered"] + F.greatest(F.lit(0), s["last_word"] - F.greatest(s["first_word"] - 1, acc["upto"]))).alias("covered"), F.greatest(acc["upto"], s["last_word"]).alias("upto")))
     spans = spans.withColumn("leak_coverage", merged["covered"] / F.greatest(F.col("_n"), F.lit(1))).drop("_n")
-    return documents.join(spans, "doc_id", "left").withColumn("leak_action", F.when(F.col("leak_coverage") > max_coverage, "drop").when(F.col("leak_coverage") > 0, "cut"))
+    rows = documents.join(spans, "doc_id", "left").withColumn("leak_action", F.when(F.col("leak_coverage") > max_coverage, "drop").when(F.col("leak_coverage") > 0, "cut"))
+    part = lambda a, n: F.col("text").substr((a + 1).cast("int"), F.greatest(F.lit(0), n).cast("int"))
+    begin = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("upto"))
+    kept = F.aggregate("leak_spans", begin, lambda acc, s: F.struct(F.concat(acc["kept"], part(acc["upto"], s["first_char"] - acc["upto"])).alias("kept"), F.greatest(acc["upto"], s["end_char"]).alias("upto")), lambda acc: F.concat(acc["kept"], part(acc["upto"], F.length("text").cast("long"))))
+    return rows.withColumn("cut_text", F.when(F.col("leak_action") == "cut", kept).when(F.col("leak_action").isNull(), F.col("text")))
 
 
 def p7_leaks(spark: SparkSession, root: str) -> DataFrame:
@@ -294,5 +391,10 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return p7_leaks(spark, root).select("doc_id", "item_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks}
+def p7_cut(spark: SparkSession, root: str) -> DataFrame:
+    """All documents with what is done about their leaks, and the text that is left (null: dropped)."""
+    return cut_leaks(spark.read.parquet(f"{root}/documents.parquet"), p7_leaks(spark, root)).select("doc_id", "leak_action", "leak_coverage", "leak_spans", "cut_text")
+
+
+QUERIES = {"p7_found": p7_found, "p7_leaks": p7_leaks, "p7_cut": p7_cut}
 ORACLES: dict[str, str] = {}

@@ -89,3 +89,30 @@ def test_automaton_names_every_item(text, cuts):
 def test_items_inside_a_longer_item(spark):
     w = P.split()
     assert found(spark, ["so " + P + " it was"], [(1, P), (2, " ".join(w[:30])), (3, " ".join(w[8:28])), (4, " ".join(w[-16:]))]) == {(0, 1), (0, 2), (0, 3), (0, 4)}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "Straße", "e", "\u0301", "é", "&amp;", "&#39;", "<b>", "</b>", "<p>", " ", "-\n", "\u200b", "’", "x", "ﬁ", "—", "слово", "12", "\n", "각", "ᄀ", "ᅡ", "&lt;", "½"]), max_size=14))
+def test_word_spans_follow_words(parts):
+    text = "".join(parts)
+    spans = d.word_spans(text)
+    assert len(spans) == len(d.words(text)) and all(0 <= a < b <= len(text) for a, b in spans)
+    assert spans == sorted(spans)
+
+
+def test_cut_takes_every_copy_out(spark):
+    w = P.split()
+    filler = "So much for the weather today, said nobody in particular. " * 20
+    texts = [
+        filler + P + " Then again: " + P + filler, filler + " ".join(w[:18]) + " &amp; " + filler + " ".join(w[-17:]) + " <b>end</b>", filler + " ".join(w[:12]) + " " + Q + " " + " ".join(w[12:24]) + " é " + filler,
+        P + " and " + P + " so on", filler,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, passage string")
+    got = {r["doc_id"]: r for r in d.cut_leaks(docs, d.leaked_passages(docs, items)).collect()}
+    assert [got[i]["leak_action"] for i in range(5)] == ["cut", "cut", "cut", "drop", None]
+    assert got[3]["cut_text"] is None and got[4]["cut_text"] == filler
+    assert got[0]["cut_text"] == filler + ". Then again: ." + filler
+    assert got[1]["cut_text"] == filler + ". &amp; " + filler + ". <b>end</b>"
+    assert d.words(got[2]["cut_text"]) == d.words(filler + " é " + filler)
+    assert found(spark, [got[i]["cut_text"] for i in range(3)]) == set()
