@@ -433,15 +433,24 @@ def reason_counts(results: DataFrame, only_discarded: bool = False) -> DataFrame
 
 
 def stage5_align(episodes: DataFrame, reference: Column, correction: list[float]) -> DataFrame:
-    """Adds ``aligned`` (14 numbers): each hand's pose moved by ``reference`` (pose of 16) and turned by the correction
+    """Adds ``aligned``, ``aligned_action`` (14 numbers each; the latter where there is an action) and
+    ``reference_forward`` (3): each hand's pose moved by ``reference`` (pose of 16) and turned by the correction
     (extrinsic xyz angles); grippers are copied."""
     turn = geometry.euler_to_matrix(F.array(*[F.lit(float(c)) for c in correction]))
 
-    def hand(c, p, start):
+    def hand(v, c, p, start):
         r, t = geometry.pose_parts(p)
         c = geometry.items(c, 9)
-        xyz = geometry.let(geometry.vector([a + b for a, b in zip(geometry.mat_vec(r, geometry.items(F.col("state"), 3, start)), t)]), lambda v: geometry.vector(geometry.mat_vec(c, geometry.items(v, 3))))
-        both = geometry.let(geometry.vector(geometry.mat_mul(c, r)), lambda m: geometry.let(geometry.euler_to_matrix(F.col("state"), start + 3), lambda e: geometry.vector(geometry.mat_mul(geometry.items(m, 9), geometry.items(e, 9)))))
-        return F.concat(xyz, geometry.matrix_to_euler(both), F.array(geometry.item(F.col("state"), start + 6)))
-
-    return episodes.withColumn("aligned", geometry.let(turn, lambda c: geometry.let(reference, lambda p: F.concat(hand(c, p, 0), hand(c, p, 7)))))
+        xyz = geometry.let(geometry.vector([a + b for a, b in zip(geometry.mat_vec(r, geometry.items(v, 3, start)), t)]), lambda v: geometry.vector(geometry.mat_vec(c, geometry.items(v, 3))))
+        both = geometry.let(geometry.vector(geometry.mat_mul(c, r)), lambda m: geometry.let(geometry.euler_to_matrix(v, start + 3), lambda e: geometry.vector(geometry.mat_mul(geometry.items(m, 9), geometry.items(e, 9)))))
+        return F.concat(xyz, geometry.matrix_to_euler(both), F.array(geometry.item(v, start + 6)))
+
+    def forward(c, p):
+        m = geometry.mat_mul(geometry.items(c, 9), geometry.pose_parts(p)[0])
+        norm = F.sqrt(m[0] * m[0] + m[3] * m[3] + m[6] * m[6])
+        return geometry.let(F.when(norm > 1e-8, norm).otherwise(1.0), lambda n: geometry.vector([m[i] / n for i in (0, 3, 6)]))
+
+    both = lambda f: geometry.let(turn, lambda c: geometry.let(reference, lambda p: f(c, p)))
+    moved = lambda v: both(lambda c, p: F.concat(hand(F.col(v), c, p, 0), hand(F.col(v), c, p, 7)))
+    action = {"aligned_action": moved("action")} if "action" in episodes.columns else {}
+    return episodes.withColumns({"aligned": moved("state"), **action, "reference_forward": both(forward)})

@@ -112,11 +112,15 @@ def confidence_pair(spark, root):
 
 
 def stage5_aligned(spark, root):
-    """State poses seen from the episode's first left pose, turned by -90 degrees about y."""
+    """State (i from 0) and action poses (from 14) seen from the episode's first left pose, turned by -90 degrees about
+    y, and the forward vector of that pose (from 28).  Angles at the seam count as +pi."""
     e = quality.episode_frames(_frames(spark, root))
     first = F.first("state").over(Window.partitionBy("episode").orderBy("t"))
     e = e.withColumn("_s0", first).withColumn("_p0", g.let(g.euler_to_matrix(F.col("_s0"), 3), lambda m: g.pose(g.items(m, 9), g.items(F.col("_s0"), 3))))
-    return _cells(quality.stage5_align(e, g.rigid_inverse(F.col("_p0")), [0.0, -g.PI / 2, 0.0]), "aligned", digits=3).where("i in (0, 1, 2, 6, 7, 8, 9, 13)")
+    e = quality.stage5_align(e, g.rigid_inverse(F.col("_p0")), [0.0, -g.PI / 2, 0.0])
+    cells = _cells(e.withColumn("all", F.concat("aligned", "aligned_action", "reference_forward")), "all", digits=3)
+    angle = (F.col("i") < 28) & (F.col("i") % 7).isin(3, 4, 5)
+    return cells.withColumn("v", F.when(angle & (F.col("v") <= -3.1415), F.lit(round(g.PI, 3))).otherwise(F.col("v")))
 
 
 # Quality pipeline --------------------------------------------------------------------

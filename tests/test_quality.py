@@ -1,6 +1,8 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from kinelake.operators import quality as q
+from kinelake.plans import frame_queries
 
 from helpers import frames_table, frame, walk
 
@@ -38,3 +40,32 @@ def test_long_runs_of_flags_are_reasons(spark):
     for v in got.values():
         names = [r.split("=")[0] for r in v]
         assert names == sorted(names, key=lambda r: (not r.startswith("hard"), not r.startswith("sudden"), not r.startswith("stage")))
+
+
+def euler(v):
+    """Extrinsic xyz angles to a matrix."""
+    (a, b, c), (x, y, z) = np.cos(v), np.sin(v)
+    return np.array([[c, -z, 0], [z, c, 0], [0, 0, 1]]) @ np.array([[b, 0, y], [0, 1, 0], [-y, 0, b]]) @ np.array([[1, 0, 0], [0, a, -x], [0, x, a]])
+
+
+def test_stage5_with_a_rotated_pose(spark):
+    rng = np.random.default_rng(8)
+    state, action = rng.uniform(-1, 1, (20, 14)), rng.uniform(-1, 1, (20, 14))
+    rot, move, turn = euler([0.4, -0.7, 1.9]), np.array([0.3, -0.2, 0.9]), [0.0, -np.pi / 2, 0.0]
+    pose = np.eye(4)
+    pose[:3, :3], pose[:3, 3] = rot, move
+    df = spark.createDataFrame([(0, t, state[t].tolist(), action[t].tolist()) for t in range(20)], "episode long, t long, state array<double>, action array<double>")
+    rows = q.stage5_align(df, F.array(*[F.lit(float(v)) for v in pose.ravel()]), turn).orderBy("t").collect()
+    c = euler(turn)
+    for name, given in (("aligned", state), ("aligned_action", action)):
+        for r, x in zip(rows, given):
+            for h in (0, 7):
+                out = np.array(r[name][h : h + 7])
+                assert np.allclose(out[:3], c @ (rot @ x[h : h + 3] + move)) and out[6] == x[h + 6]
+                assert np.allclose(euler(out[3:6]), c @ rot @ euler(x[h + 3 : h + 6]), atol=1e-7)
+    assert np.allclose(rows[0]["reference_forward"], c @ rot[:, 0])
+
+
+def test_stage5_query_has_all_numbers(spark, sf):
+    cells = frame_queries.stage5_aligned(spark, sf)
+    assert sorted(r["i"] for r in cells.select("i").distinct().collect()) == list(range(31))
