@@ -83,6 +83,11 @@ def p4_rests(spark: SparkSession, root: str) -> DataFrame:
     return rests(spark.read.parquet(f"{root}/frames.parquet")).select("episode_index", "first_frame", "n_frames", F.round("duration_s", 3).alias("duration_s"))
 
 
+def p4_collapsed(spark: SparkSession, root: str) -> DataFrame:
+    """All of ``frames`` with each rest reduced to its first frame; all columns."""
+    return collapse_rests(spark.read.parquet(f"{root}/frames.parquet"))
+
+
 _RUNS = """
         WITH d AS (SELECT DISTINCT ON (episode_index, frame_index) episode_index, frame_index, "timestamp" AS ts, "observation.state" AS s, action AS a
                    FROM frames),
@@ -97,7 +102,7 @@ _RUNS = """
                 arg_max(ts, frame_index) AS t1, arg_min(ts, frame_index) AS t0, bool_or(ts IS NULL AND (frame_index = lo OR frame_index = hi)) AS open
               FROM (SELECT *, min(frame_index) OVER (PARTITION BY episode_index, run) AS lo, max(frame_index) OVER (PARTITION BY episode_index, run) AS hi FROM r)
               GROUP BY episode_index, run HAVING count(*) >= 3)"""
-QUERIES = {"p4_found": p4_found, "p4_rests": p4_rests}
+QUERIES = {"p4_found": p4_found, "p4_rests": p4_rests, "p4_collapsed": p4_collapsed}
 ORACLES = {
     "p4_found": _RUNS + " SELECT episode_index, first_frame, last_frame FROM g",
     "p4_rests": _RUNS + " SELECT episode_index, first_frame, n_frames, CASE WHEN open THEN NULL ELSE round(CAST(t1 AS DOUBLE) - CAST(t0 AS DOUBLE), 3) END AS duration_s FROM g",
