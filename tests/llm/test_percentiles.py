@@ -76,5 +76,32 @@ def test_nulls_and_empty(spark):
 
 
 def test_values_survive_packing():
-    x = np.sort(np.random.default_rng(0).normal(size=1000))
-    assert (p.unpack_values(p.pack_values(x), 1000) == x).all()
+    rng = np.random.default_rng(0)
+    fields = [np.float32(rng.normal(size=30)), np.float32(rng.normal(size=20)), rng.normal(size=10)]
+    for a, b in zip(p.unpack_values(p.pack_values(fields), [30, 20, 10]), fields):
+        assert (a == b).all()
+
+
+def test_every_rank_passes_through_rounds(spark):
+    """Also a shard of a few dozen rows is selected by proposals, pivots, counts and cuts."""
+    rows, per = data(spark, {1: 300, 2: 20})
+    blocks = p.materialise(p.value_blocks(frames_table(spark, rows)), "b")[0]
+    assert blocks.where("shard_id = 1").count() > 1
+    log = []
+    found, _ = p.multi_select(blocks, p.shard_groups(blocks), log=log)
+    assert len(log) > 2 and log[0] > 0 and log[-1] == 0
+    assert found.count() == 2 * 300
+
+
+def test_tree_of_many_blocks(spark, monkeypatch):
+    """More blocks than the fan-in: the reduction takes several levels and gives the same values."""
+    rows, per = data(spark, {k: 60 for k in range(12)})
+    shards = spark.createDataFrame([(k, "a") for k in range(12)], "shard_id long, corpus string")
+    frames = frames_table(spark, rows)
+    got = {(r["gkey"], r["stat_name"], r["channel"]): (r["low"], r["value"], r["high"]) for r in p.percentiles(frames, shards).collect()}
+    monkeypatch.setattr(p, "FAN_IN", 4)
+    small = {(r["gkey"], r["stat_name"], r["channel"]): (r["low"], r["value"], r["high"]) for r in p.percentiles(frames, shards).collect()}
+    assert got == small
+    want = truth([x for k in range(12) for x in per[k]])
+    for (s, c), v in want.items():
+        assert np.allclose(got["overall", s, c], v, atol=1e-12)
