@@ -9,8 +9,11 @@
 3. *Provenance*: every joint and flag that was not measured says which step filled it (``dependency``, ``episode``,
    ``rig``, ``reference``, ``overall`` or ``default``).
 
-Plan: one shuffle of the rows by (episode, block of frames).  Dictionaries and means are partial aggregations over small
-keys; the joins with them carry no broadcast hint, so Catalyst chooses by size.
+Plan: one shuffle of the rows by (episode, block of frames).  An episode of several blocks takes one more: what each block
+measured first and last per joint is aggregated, a window over one row per block and joint finds the nearest measurement
+before and after the block, and these travel with the block's rows as one more row, so a gap of any length is filled as if
+the episode were whole.  Dictionaries and means are partial aggregations over small keys; the joins with them carry no
+broadcast hint, so Catalyst chooses by size.
 """
 
 from __future__ import annotations
@@ -19,12 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from kinelake.functions.deliveries import once, with_halo
+from kinelake.functions.deliveries import block_of, once
 from kinelake.functions.dense import longs, matrix, starts_of, whole_groups
 from kinelake.session import materialise
 
 JOINTS = 21
-SPAN, HALO = 4096, 64
+SPAN = 4096
 #: Magnitudes from here on are placeholders, not metres.
 PLACEHOLDER = 1e8
 HANDS = ("left_keypoints", "right_keypoints")
@@ -93,59 +96,159 @@ def _measured(x: np.ndarray, wrist: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _interpolated(x: np.ndarray, ok: np.ndarray, frame: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Missing joints on the line between the nearest measured ones of the group; at the ends the nearest.  Also returns
-    which joints this filled."""
+#: Slots of a block's carried measurements: the joints of the left hand, of the right hand, the flag.
+SLOTS = 2 * JOINTS + 1
+EDGES = "episode_index long, block long, slot int, first struct<f:long,x:double,y:double,z:double>, last struct<f:long,x:double,y:double,z:double>"
+
+
+def _interpolated(x: np.ndarray, ok: np.ndarray, frame: np.ndarray, first: np.ndarray, last: np.ndarray, prev: np.ndarray, next_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Missing joints on the line between the nearest measured ones; at the ends of an episode the nearest.  ``prev`` and
+    ``next_`` (rows, joints, 4) are the measurements (frame, x, y, z) nearest to the row's block outside of it, NaN where
+    there is none.  Also returns which joints this filled."""
     n = len(x)
     rows = np.arange(n)[:, None]
     before = np.maximum.accumulate(np.where(ok, rows, -1), axis=0)
     after = np.minimum.accumulate(np.where(ok, rows, n)[::-1], axis=0)[::-1]
     before = np.where(before < first[:, None], -1, before)
     after = np.where(after > last[:, None], -1, after)
-    i, j = np.nonzero(~ok & ((before >= 0) | (after >= 0)))
-    a, b = before[i, j], after[i, j]
-    a, b = np.where(a < 0, b, a), np.where(b < 0, a, b)
-    t = (frame[i] - frame[a]) / np.maximum(frame[b] - frame[a], 1)
-    out = x.copy()
-    out[i, j] = x[a, j] + (x[b, j] - x[a, j]) * t[:, None]
-    filled = np.zeros(ok.shape, bool)
-    filled[i, j] = True
+    i, j = np.nonzero(~ok)
+    out, filled = x.copy(), np.zeros(ok.shape, bool)
+    if not len(i):
+        return out, filled
+
+    def anchor(at, outside):
+        inside = np.concatenate([frame[np.maximum(at, 0), None].astype(float), x[np.maximum(at, 0), j]], axis=1)
+        return np.where((at >= 0)[:, None], inside, outside[i, j])
+
+    a, b = anchor(before[i, j], prev), anchor(after[i, j], next_)
+    a, b = np.where(np.isnan(a), b, a), np.where(np.isnan(b), a, b)
+    t = (frame[i] - a[:, 0]) / np.maximum(b[:, 0] - a[:, 0], 1)
+    have = ~np.isnan(a[:, 0])
+    out[i[have], j[have]] = (a[:, 1:] + (b[:, 1:] - a[:, 1:]) * t[:, None])[have]
+    filled[i[have], j[have]] = True
     return out, filled
 
 
+def _nearest_flag(flag: np.ndarray, first: np.ndarray, last: np.ndarray, prev: np.ndarray, next_: np.ndarray) -> np.ndarray:
+    """The last flag (0 or 1, NaN: none) before each row, else the first one after it."""
+    n = len(flag)
+    rows = np.arange(n)
+    known = ~np.isnan(flag)
+    before = np.concatenate(([-1], np.maximum.accumulate(np.where(known, rows, -1))[:-1])) if n else rows
+    after = np.minimum.accumulate(np.where(known, rows, n)[::-1])[::-1]
+    a = np.where(before >= first, flag[np.maximum(before, 0)], prev)
+    b = np.where(after <= last, flag[np.minimum(after, n - 1)], next_)
+    return np.where(np.isnan(a), b, a)
+
+
+def _flags(table: pa.Table) -> np.ndarray:
+    return table.column("camera_pose_valid").combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _hand(table: pa.Table, hand: str, reference: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = matrix(table.column(hand), JOINTS * 3).reshape(table.num_rows, JOINTS, 3)
+    return x, _measured(x, reference == "wrist")
+
+
+def _references(table: pa.Table) -> np.ndarray:
+    return table.column("joint_frame").combine_chunks().fill_null("").to_numpy(zero_copy_only=False)
+
+
+def _edges(batches):
+    """The first and last measurement per block and slot of a batch."""
+    point = pa.struct([("f", pa.int64()), *[(c, pa.float64()) for c in "xyz"]])
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        episode, block, frame = (longs(table, c) for c in ("episode_index", "block", "frame_index"))
+        reference = _references(table)
+        rows, slots, values = [], [], []
+        for h, hand in enumerate(HANDS):
+            x, ok = _hand(table, hand, reference)
+            i, j = np.nonzero(ok)
+            rows.append(i), slots.append(j + h * JOINTS), values.append(x[i, j])
+        flag = _flags(table)
+        i = np.flatnonzero(~np.isnan(flag))
+        rows.append(i), slots.append(np.full(len(i), SLOTS - 1)), values.append(np.repeat(flag[i, None], 3, axis=1))
+        row, slot, value = np.concatenate(rows), np.concatenate(slots), np.concatenate(values)
+        if not len(row):
+            continue
+        order = np.lexsort((frame[row], slot, block[row], episode[row]))
+        row, slot, value = row[order], slot[order], value[order]
+        start = starts_of(episode[row], block[row], slot)
+        end = np.append(start[1:], len(row)) - 1
+        packed = lambda at: pa.StructArray.from_arrays([pa.array(frame[row[at]]), *[pa.array(value[at, k]) for k in range(3)]], fields=list(point))
+        yield pa.record_batch([pa.array(episode[row[start]]), pa.array(block[row[start]]), pa.array(slot[start].astype(np.int32)), packed(start), packed(end)], names=["episode_index", "block", "slot", "first", "last"])
+
+
+def _carried(rows: DataFrame) -> DataFrame | None:
+    """(episode_index, block, carry) for every block of the episodes that have several: per slot the nearest measurement
+    before and after the block.  None if no episode has several blocks."""
+    several = rows.groupBy("episode_index").agg(F.min("block").alias("_lo"), F.max("block").alias("_hi")).where("_lo < _hi").select("episode_index")
+    several, _ = materialise(several, "long-episodes")
+    if several.isEmpty():
+        return None
+    long = rows.join(several, "episode_index", "left_semi")
+    edges = long.select("episode_index", "block", "frame_index", "joint_frame", *HANDS, "camera_pose_valid").mapInArrow(_edges, EDGES)
+    edges = edges.groupBy("episode_index", "block", "slot").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    every = long.select("episode_index", "block").distinct().withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    w = Window.partitionBy("episode_index", "slot").orderBy("block")
+    prev = F.last("last", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    next_ = F.first("first", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    near = every.join(edges, ["episode_index", "block", "slot"], "left").select("episode_index", "block", F.struct("slot", prev.alias("prev"), next_.alias("next")).alias("c"))
+    return near.groupBy("episode_index", "block").agg(F.collect_list("c").alias("carry"))  # SLOTS entries
+
+
 def _scan(batches):
     for table in whole_groups(batches, ["episode_index", "block"], rows=5_000):
         frame = longs(table, "frame_index")
         starts = starts_of(longs(table, "episode_index"), longs(table, "block"))
+        # A block's carried measurements come as its first row.
+        outside = np.full((len(starts), 2, SLOTS, 4), np.nan)
+        carry = table.column("carry").combine_chunks()
+        own = carry.is_null().to_numpy(zero_copy_only=False)
+        opens = np.flatnonzero(~own)
+        for k, at in zip(np.searchsorted(starts, opens, "right") - 1, opens):
+            for c in carry[int(at)].as_py():
+                for side, name in enumerate(("prev", "next")):
+                    if c[name]:
+                        outside[k, side, c["slot"]] = list(c[name].values())
         n = len(frame)
         seg = np.zeros(n, np.int64)
         seg[starts[1:]] = 1
         seg = np.cumsum(seg)
         first, last = starts[seg], np.append(starts[1:], n)[seg] - 1
-        reference = table.column("joint_frame").combine_chunks().fill_null("").to_numpy(zero_copy_only=False)
-        own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+        reference = _references(table)
         keep = np.flatnonzero(own)
         columns, names = [], []
-        for hand in HANDS:
-            x = matrix(table.column(hand), JOINTS * 3).reshape(n, JOINTS, 3)
-            ok = _measured(x, reference == "wrist")
-            y, filled = _interpolated(np.where(ok[:, :, None], x, np.nan), ok, frame, first, last)
+        for h, hand in enumerate(HANDS):
+            x, ok = _hand(table, hand, reference)
+            here = slice(h * JOINTS, (h + 1) * JOINTS)
+            y, filled = _interpolated(np.where(ok[:, :, None], x, np.nan), ok, frame, first, last, outside[seg, 0, here], outside[seg, 1, here])
             mark = np.where(ok, 0, np.where(filled, 2, -1))[keep]
             columns += [pa.FixedSizeListArray.from_arrays(pa.array(y[keep].ravel()), JOINTS * 3).cast(pa.list_(pa.float64())), pa.FixedSizeListArray.from_arrays(pa.array(mark.ravel().astype(np.int32)), JOINTS).cast(pa.list_(pa.int32()))]
             names += [hand, f"{hand}_mark"]
+        near = _nearest_flag(_flags(table), first, last, outside[seg, 0, -1, 1], outside[seg, 1, -1, 1])[keep]
+        columns.append(pa.array(near == 1, pa.bool_(), mask=np.isnan(near)))
+        names.append("flag_near")
         rest = table.select(["episode_index", "frame_index", "rig_id", "joint_frame", "pose_ok", "camera_pose_valid"]).take(pa.array(keep)).combine_chunks()
         for batch in rest.to_batches() if len(keep) else ():
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*rest.schema.names, *names])
 
 
-SCANNED = "episode_index long, frame_index long, rig_id string, joint_frame string, pose_ok boolean, camera_pose_valid boolean, left_keypoints array<double>, left_keypoints_mark array<int>, right_keypoints array<double>, right_keypoints_mark array<int>"
+SCANNED = "episode_index long, frame_index long, rig_id string, joint_frame string, pose_ok boolean, camera_pose_valid boolean, left_keypoints array<double>, left_keypoints_mark array<int>, right_keypoints array<double>, right_keypoints_mark array<int>, flag_near boolean"
 
 
 def scanned(keypoints: DataFrame) -> DataFrame:
-    """Rows once per (episode, frame) with a mark per joint: 0 measured, 2 filled along the episode's time, -1 still open."""
+    """Rows once per (episode, frame) with a mark per joint: 0 measured, 2 filled along the episode's time, -1 still open;
+    ``flag_near`` is the episode's nearest other flag."""
     rows = keypoints.where("episode_index is not null and frame_index is not null").select("episode_index", "frame_index", "rig_id", "joint_frame", *HANDS, "camera_pose_valid", pose_usable(F.col("obs_head_pose")).alias("pose_ok"))
-    placed = once(with_halo(rows, SPAN, HALO), ["episode_index", "block"], ["frame_index"])
-    return placed.mapInArrow(_scan, SCANNED)
+    rows = rows.withColumn("block", block_of(F.col("frame_index"), SPAN))
+    carried = _carried(rows)
+    none = "array<struct<slot:int,prev:struct<f:bigint,x:double,y:double,z:double>,next:struct<f:bigint,x:double,y:double,z:double>>>"
+    placed = rows.withColumn("carry", F.lit(None).cast(none))
+    if carried is not None:
+        placed = placed.unionByName(carried.withColumn("frame_index", F.col("block") * SPAN - 1), allowMissingColumns=True)
+    return once(placed, ["episode_index", "block"], ["frame_index"]).mapInArrow(_scan, SCANNED)
 
 
 def _joint_rows(rows: DataFrame, hand: str) -> DataFrame:
@@ -186,15 +289,14 @@ def complete_keypoints(keypoints: DataFrame) -> DataFrame:
     by_rig = _packed(stats.select(rig_key.alias("k2"), "field_name", "joint", *mean), ["k2"], "m2")
     by_reference = _packed(wide.select(key.alias("k3"), "field_name", "joint", *mean), ["k3"], "m3")
     overall = wide.groupBy("field_name", "joint").agg(F.sum("n").alias("n"), *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in "xyz"])
-    overall = _packed(overall.select(F.pmod("joint", F.lit(1)).cast("int").alias("k4"), "field_name", "joint", *mean), ["k4"], "m4")
-    # The last key is 0 on all rows; it is computed from a column on both sides so that it stays an equi-join.
-    same = F.pmod(F.col("episode_index"), F.lit(1)).cast("int")
-    out = rows.withColumns({"k1": key, "k2": rig_key, "k3": key, "k4": same})
-    for k, table in (("k1", fixed), ("k2", by_rig), ("k3", by_reference), ("k4", overall)):
+    entries = {(0 if r["field_name"] == HANDS[0] else JOINTS * 3) + r["joint"] * 3 + k: r[c] for r in overall.select("field_name", "joint", *mean).collect() for k, c in enumerate("xyz")}  # at most 126 numbers
+    literal = F.map_from_arrays(F.array(*[F.lit(k) for k in entries]).cast("array<int>"), F.array(*[F.lit(float(v)) for v in entries.values()]).cast("array<double>"))
+    out = rows.withColumns({"k1": key, "k2": rig_key, "k3": key, "m4": literal})
+    for k, table in (("k1", fixed), ("k2", by_rig), ("k3", by_reference)):
         out = out.join(table, k, "left")
     for h, hand in enumerate(HANDS):
         out = _filled_hand(out, hand, h * JOINTS * 3)
-    out = out.select("episode_index", "frame_index", "rig_id", "joint_frame", "pose_ok", "camera_pose_valid", *HANDS, *[f"{h}_filled" for h in HANDS])
+    out = out.select("episode_index", "frame_index", "rig_id", "joint_frame", "pose_ok", "camera_pose_valid", "flag_near", *HANDS, *[f"{h}_filled" for h in HANDS])
     return _complete_flag(out, rows)
 
 
@@ -228,10 +330,8 @@ def _complete_flag(out: DataFrame, rows: DataFrame) -> DataFrame:
         out = out.join(dictionary(complete, "camera_pose_valid", names), names, "left")
     else:
         out = out.withColumn("_filled", F.lit(None).cast("boolean"))
-    w = Window.partitionBy("episode_index", F.floor(F.col("frame_index") / SPAN)).orderBy("frame_index")
-    near = F.coalesce(F.last("camera_pose_valid", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.first("camera_pose_valid", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
     usual = complete.where("camera_pose_valid is not null and rig_id is not null").groupBy("rig_id").agg((F.avg(F.col("camera_pose_valid").cast("double")) >= 0.5).alias("_usual"))
-    out = out.withColumn("_near", near).join(usual, "rig_id", "left")
+    out = out.withColumnRenamed("flag_near", "_near").join(usual, "rig_id", "left")
     mark = F.when(F.col("camera_pose_valid").isNotNull(), None).when(F.col("_filled").isNotNull(), "dependency").when(F.col("_near").isNotNull(), "episode").when(F.col("_usual").isNotNull(), "rig").otherwise("default")
     return out.select("episode_index", "frame_index", "rig_id", "joint_frame", *HANDS, *[f"{h}_filled" for h in HANDS], F.coalesce("camera_pose_valid", "_filled", "_near", "_usual", F.lit(False)).alias("camera_pose_valid"), mark.alias("camera_pose_valid_filled"))
 
@@ -256,8 +356,54 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return filled_cases(p3_completed(spark, root))
 
 
-QUERIES = {"p3_found": p3_found, "p3_completed": p3_completed}
+def p3_filled(spark: SparkSession, root: str) -> DataFrame:
+    """What was filled: joints with their value and the step that gave it; flags as ``x`` (0 or 1)."""
+    done = complete_keypoints(spark.read.parquet(f"{root}/hand_keypoints.parquet"))
+
+    def filled(hand):
+        return F.transform(f"{hand}_filled", lambda m, j: F.when(m.isNotNull(), F.struct(F.lit(hand).alias("field_name"), j.cast("long").alias("joint"), m.alias("filled_by"), *[F.round(F.get(F.col(hand), j * 3 + k) + 1e-7, 4).alias(c) for k, c in enumerate("xyz")])))
+
+    none = F.lit(None).cast("double")
+    flag = F.array(F.when(F.col("camera_pose_valid_filled").isNotNull(), F.struct(F.lit("camera_pose_valid").alias("field_name"), F.lit(-1).cast("long").alias("joint"), F.col("camera_pose_valid_filled").alias("filled_by"), F.col("camera_pose_valid").cast("double").alias("x"), none.alias("y"), none.alias("z"))))
+    return done.select("episode_index", "frame_index", F.explode(F.array_compact(F.concat(*[filled(h) for h in HANDS], flag))).alias("c")).select("episode_index", "frame_index", "c.*")
+
+
+QUERIES = {"p3_found": p3_found, "p3_completed": p3_completed, "p3_filled": p3_filled}
+_MEASURED = """k AS (SELECT DISTINCT ON (episode_index, frame_index) * FROM hand_keypoints),
+        h AS (
+          SELECT episode_index, frame_index, rig_id, joint_frame, 'left_keypoints' AS field_name, left_keypoints AS v FROM k
+          UNION ALL
+          SELECT episode_index, frame_index, rig_id, joint_frame, 'right_keypoints', right_keypoints FROM k),
+        j AS (SELECT h.*, i AS joint, CAST(v[3 * i + 1] AS DOUBLE) AS x, CAST(v[3 * i + 2] AS DOUBLE) AS y, CAST(v[3 * i + 3] AS DOUBLE) AS z FROM h, range(21) t(i)),
+        m AS (SELECT *, coalesce(isfinite(x) AND isfinite(y) AND isfinite(z) AND greatest(abs(x), abs(y), abs(z)) < 1e8, false) AS fine,
+                     coalesce(x = 0 AND y = 0 AND z = 0, false) AS zero FROM j),
+        n AS (SELECT *, sum(CASE WHEN fine AND NOT zero AND joint > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY episode_index, frame_index, field_name) AS others FROM m),
+        ok AS (SELECT *, fine AND (NOT zero OR coalesce(joint = 0 AND joint_frame = 'wrist' AND others > 0, false)) AS ok FROM n)"""
+_LINE = ", ".join(f"last_value(CASE WHEN ok THEN {c} END IGNORE NULLS) OVER b AS p{c}, first_value(CASE WHEN ok THEN {c} END IGNORE NULLS) OVER a AS n{c}" for c in ("frame_index", "x", "y", "z"))
+_MEANS = ", ".join(f"avg({c}) AS m{c}" for c in "xyz")
 ORACLES = {
+    # The flag's dependency is the one that the data verify: whether the head pose is usable.
+    "p3_filled": f"""
+        WITH {_MEASURED},
+        li AS (SELECT *, {_LINE} FROM ok WINDOW b AS (PARTITION BY episode_index, field_name, joint ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                a AS (PARTITION BY episode_index, field_name, joint ORDER BY frame_index ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        fx AS (SELECT joint_frame, field_name, joint, {_MEANS}, count(*) >= 20 AND min(x) = max(x) AND min(y) = max(y) AND min(z) = max(z) AS fixed FROM ok WHERE ok GROUP BY ALL),
+        rg AS (SELECT joint_frame, rig_id, field_name, joint, {_MEANS} FROM ok WHERE ok GROUP BY ALL),
+        al AS (SELECT field_name, joint, {_MEANS} FROM ok WHERE ok GROUP BY ALL),
+        fi AS (SELECT episode_index, frame_index, li.field_name, li.joint, CASE WHEN coalesce(fx.fixed, false) THEN 'dependency' WHEN coalesce(pframe_index, nframe_index) IS NOT NULL THEN 'episode'
+                WHEN rg.mx IS NOT NULL THEN 'rig' WHEN fx.mx IS NOT NULL THEN 'reference' WHEN al.mx IS NOT NULL THEN 'overall' ELSE 'default' END AS filled_by,
+                {", ".join(f"coalesce(p{c}, n{c}) + (coalesce(n{c}, p{c}) - coalesce(p{c}, n{c})) * (frame_index - coalesce(pframe_index, nframe_index)) / greatest(coalesce(nframe_index, pframe_index) - coalesce(pframe_index, nframe_index), 1) AS e{c}" for c in "xyz")},
+                {", ".join(f"fx.m{c} AS f{c}, rg.m{c} AS r{c}, al.m{c} AS a{c}" for c in "xyz")}
+               FROM li LEFT JOIN fx ON fx.joint_frame IS NOT DISTINCT FROM li.joint_frame AND fx.field_name = li.field_name AND fx.joint = li.joint
+               LEFT JOIN rg ON rg.joint_frame IS NOT DISTINCT FROM li.joint_frame AND rg.rig_id IS NOT DISTINCT FROM li.rig_id AND rg.field_name = li.field_name AND rg.joint = li.joint
+               LEFT JOIN al ON al.field_name = li.field_name AND al.joint = li.joint WHERE NOT ok)
+        SELECT episode_index, frame_index, field_name, CAST(joint AS BIGINT) AS joint, filled_by,
+               {", ".join(f"round(CASE filled_by WHEN 'episode' THEN e{c} WHEN 'rig' THEN r{c} WHEN 'overall' THEN a{c} WHEN 'default' THEN 0 ELSE f{c} END + 1e-7, 4) AS {c}" for c in "xyz")} FROM fi
+        UNION ALL
+        SELECT episode_index, frame_index, 'camera_pose_valid', CAST(-1 AS BIGINT), 'dependency',
+               CASE WHEN coalesce(len(obs_head_pose) = 7 AND list_count(obs_head_pose) = 7 AND list_bool_and([isfinite(q) AND abs(q) < 1e8 FOR q IN obs_head_pose])
+                 AND abs(sqrt(list_sum([CAST(q AS DOUBLE) * CAST(q AS DOUBLE) FOR q IN obs_head_pose[4:7]])) - 1) < 0.2, false) THEN 1.0::DOUBLE ELSE 0 END, NULL, NULL
+        FROM k WHERE camera_pose_valid IS NULL""",
     "p3_found": """
         WITH k AS (SELECT DISTINCT ON (episode_index, frame_index) * FROM hand_keypoints),
         h AS (

@@ -95,3 +95,29 @@ def test_mining(spark):
     assert got["p"]["verified"] and not got["q"]["verified"] and not got["k"]["verified"] and got["p,q"]["verified"]
     filled, names = m.fill_by_dependency(df, "v", [["q"], ["p"]])
     assert names == ["p"] and filled.where("_filled <> v").count() == 0
+
+
+def test_blocks_do_not_matter(spark, monkeypatch):
+    """Gaps longer than a block, at an episode's start and end, and flags far away give the same with any block size."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for e, n in ((1, 600), (2, 90), (3, 300)):
+        for i in range(n):
+            left = None if e == 1 and 180 <= i < 400 or e == 3 and (i < 150 or i >= 200) else hand(i)
+            right = hand(i + 1000)
+            for j in np.flatnonzero(rng.random(21) < 0.3):
+                right[3 * j] = None
+            flag = None if 200 <= i < 300 or i < 5 else bool((i // 40) % 2)
+            if i % 97 != 3:
+                rows.append(row(e, i, left, right, pose=GOOD if i % 2 else BAD, flag=flag))
+    whole, cases = run(spark, rows)
+    assert whole[1, 250]["left_keypoints_filled"][4] == "episode" and whole[1, 250]["camera_pose_valid_filled"] == "episode"
+    a, b = np.array(hand(179)), np.array(hand(400))
+    assert np.allclose(whole[1, 181]["left_keypoints"], a + (b - a) * 2 / 221, atol=1e-6)
+    for span in (16, 64, 256):
+        monkeypatch.setattr(m, "SPAN", span)
+        other, others = run(spark, rows)
+        assert others == cases
+        for k, r in whole.items():
+            assert np.allclose(other[k]["left_keypoints"], r["left_keypoints"], atol=1e-12) and np.allclose(other[k]["right_keypoints"], r["right_keypoints"], atol=1e-12)
+            assert [other[k][c] for c in ("left_keypoints_filled", "right_keypoints_filled", "camera_pose_valid", "camera_pose_valid_filled")] == [r[c] for c in ("left_keypoints_filled", "right_keypoints_filled", "camera_pose_valid", "camera_pose_valid_filled")], (span, k)
