@@ -10,14 +10,12 @@ def block_of(frame: Column, span: int) -> Column:
 
 
 def with_halo(df: DataFrame, span: int, halo: int, frame: str = "frame_index") -> DataFrame:
-    """Adds ``block`` (frame div span) and repeats rows within ``halo`` frames of a block's border in the neighbouring
-    block, so that rules that look at most ``halo`` frames away are exact inside each block.  ``own`` marks a row's own
-    block.  An episode shorter than ``span - halo`` frames gains no row."""
+    """Adds ``block`` (frame div span) and repeats rows within ``halo`` frames of a block's border in the blocks beyond
+    it, so that rules that look at most ``halo`` frames away are exact inside each block.  ``own`` marks a row's own
+    block.  Block 0 takes nothing from negative frame numbers.  An episode shorter than ``span - halo`` frames gains no
+    row."""
     f = F.col(frame)
-    own = block_of(f, span)
-    before = F.when((f - own * span < halo) & (own > 0), own - 1)
-    after = F.when(f - own * span >= span - halo, own + 1)
-    blocks = F.filter(F.array(own, before, after), lambda b: b.isNotNull())
+    blocks = F.filter(F.sequence(block_of(f - halo, span), block_of(f + halo, span)), lambda b: (b >= 0) | (b == block_of(f, span)))
     return df.withColumn("block", F.explode(blocks)).withColumn("own", F.col("block") == block_of(f, span))
 
 

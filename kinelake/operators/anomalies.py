@@ -10,10 +10,14 @@ repeats until nothing new is found.
 
 Frozen stretches come from runs of zero first differences, impossible readings from the bounds of the field.
 
-Plan: frames get their rig, are shuffled once by (episode, block of 4,096 frames, with a halo that makes every rule
-exact inside a block) and sorted by frame.  Pass 1 reduces each task to histograms per rig and channel (48 channels x 3
-quantities, logarithmic bins), which are summed by hash aggregation; pass 2 applies the rules.  What is joined back is
-one row per rig; it is broadcast only if its counted size allows it.
+More than ``GAP`` missing frames end a course and a stretch.
+
+Plan: frames get their rig, are shuffled once by (episode, block of 4,096 frames, with a halo) and sorted by frame.  Pass 1
+reduces each task to histograms per rig and channel (48 channels x 3 quantities, logarithmic bins), which are summed by
+hash aggregation; pass 2 applies the rules.  What is joined back is one row per rig; it is broadcast only if its counted
+size allows it.  The size of the blocks changes no result: a block whose halo holds too few readings for the rounds that
+were needed is judged again with a wider one, and a frozen stretch that leaves its block is put together from one row per
+block with its length and its moving frames before it is judged.
 """
 
 from __future__ import annotations
@@ -28,12 +32,17 @@ from kinelake.session import materialise
 
 FIELDS = (("observation.state", 20), ("action", 20), ("observation.confidence", 8))
 WIDTH = sum(w for _, w in FIELDS)
-SPAN, HALO = 4096, 16
+SPAN, HALO = 4096, 64
+#: A longer gap between frames is a border; ``HALO`` is several times as long.
+GAP = 16
+#: How many readings away one round looks: 3 for the median, 1 for the differences, 4 for the confirmation.
+REACH = 8
 #: Histogram of absolute values: 8 bins an octave, octaves 2**-30 .. 2**30.
 BINS = 480
 BROADCAST_RIGS = 50_000
 REST_EPSILON = 0.0005
 FOUND = "episode_index long, frame_index long, field_name string, channel long, kind string, value double"
+JUDGED = FOUND + ", block long, run long, n long, moved long, from_before boolean"
 
 _STATE_ROLE = np.array((["position"] * 3 + ["rot6d"] * 6 + ["width"]) * 2)
 LOW = np.concatenate([np.select([_STATE_ROLE == "position", _STATE_ROLE == "rot6d"], [-3.0, -1.0], 0.0)] * 2 + [np.zeros(8)])
@@ -44,28 +53,36 @@ NAMES = np.concatenate([np.repeat(n, w) for n, w in FIELDS])
 NUMBER = np.concatenate([np.arange(w) for _, w in FIELDS])
 
 
-def placed(frames: DataFrame, episodes: DataFrame) -> DataFrame:
-    """Frames once per (episode, frame), with their rig, clustered by (episode, block) and sorted by frame."""
+def placed(frames: DataFrame, episodes: DataFrame, halo: int = HALO, blocks: DataFrame | None = None) -> DataFrame:
+    """Frames once per (episode, frame), with their rig, clustered by (episode, block) and sorted by frame; with ``blocks``
+    (episode_index, block) those blocks only."""
     rigs = episodes.where("episode_index is not null").groupBy("episode_index").agg(F.max("rig_id").alias("rig_id"))
     values = frames.where("episode_index is not null and frame_index is not null").select("episode_index", "frame_index", F.col("`observation.state`").alias("f0"), F.col("action").alias("f1"), F.col("`observation.confidence`").alias("f2"))
-    rows = with_halo(values.join(rigs, "episode_index", "left"), SPAN, HALO).repartition("episode_index", "block")
-    return once(rows, ["episode_index", "block"], ["frame_index"])
+    if blocks is not None:
+        values = values.join(blocks.select("episode_index").distinct(), "episode_index", "left_semi")
+    rows = with_halo(values, SPAN, halo)
+    if blocks is not None:
+        rows = rows.join(blocks, ["episode_index", "block"], "left_semi")
+    return once(rows.join(rigs, "episode_index", "left").repartition("episode_index", "block"), ["episode_index", "block"], ["frame_index"])
 
 
 class _Rows:
-    """A table of whole (episode, block) groups as arrays."""
+    """A table of whole (episode, block) groups as arrays.  ``seg`` numbers the courses: groups, cut at long gaps."""
 
     def __init__(self, table: pa.Table):
-        self.episode, self.frame = longs(table, "episode_index"), longs(table, "frame_index")
+        self.episode, self.frame, self.block = longs(table, "episode_index"), longs(table, "frame_index"), longs(table, "block")
         self.own = table.column("own").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
         self.values = np.concatenate([matrix(table.column(f"f{k}"), w) for k, (_, w) in enumerate(FIELDS)], axis=1)
-        starts = starts_of(self.episode, longs(table, "block"))
         n = len(self.frame)
-        self.seg = np.zeros(n, np.int64)
-        self.seg[starts[1:]] = 1
-        self.seg = np.cumsum(self.seg)
-        self.first = starts[self.seg]
-        self.last = np.append(starts[1:], n)[self.seg] - 1
+        self.starts = starts_of(self.episode, self.block)
+        opens = np.zeros(n, bool)
+        opens[self.starts] = True
+        self.group = np.cumsum(opens) - 1
+        opens[1:] |= np.diff(self.frame) > GAP
+        courses = np.flatnonzero(opens)
+        self.seg = np.cumsum(opens) - 1
+        self.first = courses[self.seg]
+        self.last = np.append(courses[1:], n)[self.seg] - 1
         self.joined = np.arange(n) > self.first
         with np.errstate(invalid="ignore"):
             self.outside = (self.values < LOW) | (self.values > HIGH)
@@ -142,7 +159,7 @@ def _histograms(batches):
         near = r.joined.copy()
         near[1:] &= r.frame[1:] == r.frame[:-1] + 1
         d[1:] = np.where(near[1:, None], x[1:] - x[:-1], np.nan)
-        u, du, d2 = _phase(_bridged(r.values, ~r.outside & ~np.isnan(r.values), r.first, r.last), r.first, r.last)
+        u, du, d2 = _phase(x, r.first, r.last)  # only where all readings that enter are usable, hence inside the halo
         bins = [_bin(v) for v in (d, u, du, d2)]
         own = r.own
         for rig in set(rigs.tolist()):
@@ -183,13 +200,11 @@ def rig_scales(counts: DataFrame, least: int = 200) -> DataFrame:
 
 
 def _with_scales(rows: DataFrame, scales: DataFrame) -> DataFrame:
-    scales, _ = materialise(scales, "rig-scales")
+    """``scales`` must be materialised."""
     keyed = rows.withColumn("key", F.concat(F.lit("="), F.coalesce("rig_id", F.lit(""))))
     if scales.limit(BROADCAST_RIGS + 1).count() <= BROADCAST_RIGS:  # under 200 MB
-        out = keyed.join(F.broadcast(scales), "key", "left")
-    else:
-        out = keyed.join(scales, "key", "left").repartition("episode_index", "block").sortWithinPartitions("episode_index", "block", "frame_index")
-    return out
+        return keyed.join(F.broadcast(scales), "key", "left")
+    return keyed.join(scales, "key", "left").repartition("episode_index", "block").sortWithinPartitions("episode_index", "block", "frame_index")
 
 
 def _confirmed(v: np.ndarray, frame: np.ndarray, seg: np.ndarray, scale: np.ndarray, candidate: np.ndarray, factor: float, longest: int) -> np.ndarray:
@@ -219,34 +234,53 @@ def _confirmed(v: np.ndarray, frame: np.ndarray, seg: np.ndarray, scale: np.ndar
     return hit
 
 
-def _spikes(r: _Rows, scale: np.ndarray, readings: np.ndarray, factor: float, longest: int, rounds: int = 6) -> np.ndarray:
-    """``scale`` is (groups, 4, WIDTH) by ``seg``."""
+def _spikes(r: _Rows, scale: np.ndarray, readings: np.ndarray, factor: float, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The confirmed readings, and in how many rounds each course's channels gave some.  ``scale`` is (groups, 4, WIDTH)."""
     found = np.zeros(r.values.shape, bool)
     usable = ~r.outside & ~np.isnan(r.values)
+    rounds = np.zeros((int(r.seg[-1]) + 1 if len(r.seg) else 0, WIDTH), np.int64)
     width = np.sqrt(2 * np.log(np.maximum(readings, 3)))
     rows = np.arange(len(r.frame))
-    for _ in range(rounds):
+    while len(rows):
         first = np.searchsorted(rows, r.first[rows])
         last = np.searchsorted(rows, r.last[rows])
         good = usable[rows]
         u, d, d2 = _phase(_bridged(r.values[rows], good, first, last), first, last)
-        seg = r.seg[rows]
-        axis = 1.4826 * width[seg][:, None]
+        seg, group = r.seg[rows], r.group[rows]
+        axis = 1.4826 * width[group][:, None]
         with np.errstate(invalid="ignore", divide="ignore"):
-            outside = sum((q / (axis * scale[seg, k])) ** 2 for k, q in ((1, u), (2, d), (3, d2))) > 1
+            outside = sum((q / (axis * scale[group, k])) ** 2 for k, q in ((1, u), (2, d), (3, d2))) > 1
         outside &= good
         new = np.zeros(outside.shape, bool)
         for c in np.flatnonzero(outside.any(0)):
             at = np.flatnonzero(good[:, c])
-            hit = _confirmed(r.values[rows[at], c], r.frame[rows[at]], seg[at], scale[seg[at], 0, c], outside[at, c], factor, longest)
+            hit = _confirmed(r.values[rows[at], c], r.frame[rows[at]], seg[at], scale[group[at], 0, c], outside[at, c], factor, longest)
             new[at[hit], c] = True
-        if not new.any():
-            break
+            rounds[np.unique(seg[at[hit]]), c] += 1
         found[rows] |= new
         usable[rows] &= ~new
-        again = np.unique(seg[new.any(1)])
-        rows = np.flatnonzero(np.isin(r.seg, again))
-    return found
+        rows = np.flatnonzero(np.isin(r.seg, np.unique(seg[new.any(1)])))
+    return found, rounds
+
+
+def _unsettled(r: _Rows, rounds: np.ndarray, halo: int, span: int) -> np.ndarray:
+    """Groups in which an own reading may depend on readings beyond the halo: the halo on a side on which the course may
+    go on holds fewer usable readings of a channel than its rounds looked at."""
+    usable = ~r.outside & ~np.isnan(r.values)
+    ends = np.append(r.starts[1:], len(r.frame))
+    out = np.zeros(len(r.starts), bool)
+    for g, (a, b) in enumerate(zip(r.starts, ends)):
+        mine = np.flatnonzero(r.own[a:b]) + a
+        if not len(mine):
+            continue
+        lo, hi = r.block[a] * span - halo, (r.block[a] + 1) * span + halo - 1
+        for goes_on, edge, side in ((r.block[a] > 0 and r.frame[a] - lo <= GAP, a, slice(a, mine[0])), (hi - r.frame[b - 1] <= GAP, b - 1, slice(mine[-1] + 1, b))):
+            seg = r.seg[edge]
+            inside = mine[r.seg[mine] == seg]
+            if goes_on and len(inside):
+                judged = usable[inside].any(0)
+                out[g] |= bool((judged & (usable[side][r.seg[side] == seg].sum(0) < REACH * (rounds[seg] + 1))).any())
+    return out
 
 
 def _at_rest(r: _Rows, least: int = 3) -> np.ndarray:
@@ -261,8 +295,10 @@ def _at_rest(r: _Rows, least: int = 3) -> np.ndarray:
     return rest
 
 
-def _frozen(r: _Rows, least: int) -> np.ndarray:
-    """Readings that repeat their predecessor in a stretch of at least ``least`` readings while the hand keeps moving."""
+def _frozen(r: _Rows, least: int):
+    """Readings that repeat their predecessor in a stretch of at least ``least`` readings while the hand keeps moving, and
+    the parts of stretches that leave the block: (channel, first and end row, length, moving frames, whether it began
+    before the block)."""
     n = len(r.frame)
     same = np.zeros((n, WIDTH), bool)
     same[1:] = (r.values[1:] == r.values[:-1]) & r.joined[1:, None]
@@ -271,58 +307,96 @@ def _frozen(r: _Rows, least: int) -> np.ndarray:
     for h in range(6):
         moved[:, h] = change[:, HAND == h].any(1)
     moved = np.vstack([np.zeros((1, 6), np.int64), np.cumsum(moved, axis=0)])
-    a, b = runs(same.T.ravel())
-    long = b - a >= least - 1
-    a, b = a[long], b[long]
-    channel = a // n
+    a, b = runs((same & r.own[:, None]).T.ravel())
+    channel = a // n if n else a
     i, j = a - channel * n, b - channel * n
-    moving = (moved[j, HAND[channel]] - moved[i, HAND[channel]]) * 2 >= j - i
+    # A run at a border of the block's own rows goes on where the next row beyond it repeats too.
+    before = (i > 0) & ~r.own[np.maximum(i - 1, 0)] & same[np.maximum(i - 1, 0), channel] & (r.group[np.maximum(i - 1, 0)] == r.group[i]) if len(a) else np.zeros(0, bool)
+    after = (j < n) & ~r.own[np.minimum(j, n - 1)] & same[np.minimum(j, n - 1), channel] & (r.group[np.minimum(j, n - 1)] == r.group[i]) if len(a) else np.zeros(0, bool)
+    count = moved[j, HAND[channel]] - moved[i, HAND[channel]]
+    whole = ~before & ~after
+    good = whole & (j - i >= least - 1) & (count * 2 >= j - i)
+    rest = _at_rest(r)
     out = np.zeros((n, WIDTH), bool)
-    for c, s, e in zip(channel[moving], i[moving], j[moving]):
+    for c, s, e in zip(channel[good], i[good], j[good]):
         out[s:e, c] = True
-    out[_at_rest(r), :40] = False
-    return out
+    out[rest, :40] = False
+    parts = [(int(c), int(s), int(e), int(e - s), int(m), bool(f)) for c, s, e, m, f in zip(channel[~whole], i[~whole], j[~whole], count[~whole], before[~whole])]
+    return out, parts, rest
 
 
-def _detect(factor: float, longest: int, least_frozen: int, batches):
+def _detect(factor: float, longest: int, least_frozen: int, halo: int, span: int, batches):
     for table in whole_groups(batches, ["episode_index", "block"]):
         r = _Rows(table)
-        starts = np.unique(r.first)
-        scale = np.full((len(starts), 4 * WIDTH), np.inf)
-        readings = np.zeros(len(starts))
-        packed, counts = table.column("s").take(pa.array(starts)).to_pylist(), table.column("readings").take(pa.array(starts)).to_pylist()
+        scale = np.full((len(r.starts), 4 * WIDTH), np.inf)
+        readings = np.zeros(len(r.starts))
+        packed, counts = table.column("s").take(pa.array(r.starts)).to_pylist(), table.column("readings").take(pa.array(r.starts)).to_pylist()
         for k, (s, n) in enumerate(zip(packed, counts)):
             for x in s or ():
                 scale[k, x["at"]] = x["v"]
             readings[k] = n or 0
-        spike = _spikes(r, scale.reshape(-1, 4, WIDTH), readings, factor, longest)
-        frozen = _frozen(r, least_frozen)
+        spike, rounds = _spikes(r, scale.reshape(-1, 4, WIDTH), readings, factor, longest)
+        frozen, parts, rest = _frozen(r, least_frozen)
+        unsettled = _unsettled(r, rounds, halo, span)
+        usable = r.own & ~unsettled[r.group]
         kind = np.where(r.outside, 1, np.where(spike, 2, np.where(frozen, 3, 0)))
-        kind[~r.own] = 0
+        kind[~usable] = 0
         i, c = np.nonzero(kind)
+        k, run, length, moved, before = kind[i, c], np.full(len(i), -1), np.zeros(len(i), np.int64), np.zeros(len(i), np.int64), np.zeros(len(i), bool)
+        extra = []
+        for channel, s, e, size, count, f in parts:
+            if usable[s]:
+                open_ = np.flatnonzero((kind[s:e, channel] == 0) & ~(rest[s:e] & (channel < 40))) + s
+                extra.append((np.append(open_, s), channel, np.append(np.full(len(open_), 4), 5), int(r.frame[s]), size, count, f))
+        for g in np.flatnonzero(unsettled):
+            extra.append((r.starts[[g]], 0, np.array([6]), -1, 0, 0, False))
+        for at, channel, ks, first, size, count, f in extra:
+            m = len(at)
+            i, c, k = np.concatenate([i, at]), np.concatenate([c, np.full(m, channel)]), np.concatenate([k, ks])
+            run, length, moved, before = (np.concatenate([v, np.full(m, x)]) for v, x in ((run, first), (length, size), (moved, count), (before, f)))
         if len(i):
+            names = np.array(["", "bounds", "spike", "frozen", "pending", "part", "unsettled"], object)
             yield pa.record_batch(
-                [pa.array(r.episode[i]), pa.array(r.frame[i]), pa.array(NAMES[c].tolist(), pa.string()), pa.array(NUMBER[c].astype(np.int64)), pa.array(np.array(["", "bounds", "spike", "frozen"], object)[kind[i, c]], pa.string()), pa.array(r.values[i, c])],
-                names=["episode_index", "frame_index", "field_name", "channel", "kind", "value"],
+                [pa.array(r.episode[i]), pa.array(r.frame[i]), pa.array(NAMES[c].tolist(), pa.string()), pa.array(NUMBER[c].astype(np.int64)), pa.array(names[k], pa.string()), pa.array(r.values[i, c]), pa.array(r.block[i]), *[pa.array(v, pa.int64()) for v in (run, length, moved)], pa.array(before.astype(bool))],
+                names=["episode_index", "frame_index", "field_name", "channel", "kind", "value", "block", "run", "n", "moved", "from_before"],
             )
 
 
+def _judged(frames: DataFrame, episodes: DataFrame, scales: DataFrame, rules: tuple, halo: int, blocks: DataFrame | None = None) -> DataFrame:
+    span = SPAN
+    scaled = _with_scales(placed(frames, episodes, halo, blocks), scales)
+    # The scales travel to Python once per group of frames.
+    opens = F.lag("frame_index").over(Window.partitionBy("episode_index", "block").orderBy("frame_index")).isNull()
+    out = scaled.withColumn("s", F.when(opens, F.col("s")))
+    return out.select("episode_index", "block", "frame_index", "own", "f0", "f1", "f2", "s", "readings").mapInArrow(lambda it: _detect(*rules, halo, span, it), JUDGED)
+
+
 def implausible_readings(frames: DataFrame, episodes: DataFrame, factor: float = 14.0, longest: int = 3, least_frozen: int = 8) -> DataFrame:
     """One row per implausible reading (episode_index, frame_index, field_name, channel, kind, value).
 
     ``kind`` is bounds, spike or frozen, the first that applies.  Frames without episode or frame number cannot be placed
     and give nothing; null lists, null elements, NaN and missing tails are no readings; infinite ones are out of bounds.
     A frame delivered several times counts once.  Episodes missing in ``episodes``, or without rig, are judged together
-    as one rig.  A spike at an episode's first or last reading has no course on one side and is not reported.  Empty
+    as one rig.  A spike at the first or last reading of a course has no course on one side and is not reported.  Empty
     tables give no row; other columns are ignored."""
-    rows = placed(frames, episodes)
-    # Written once, as the scales read them several times.
-    counts, _ = materialise(rig_histograms(rows), "rig-histograms")
-    scaled = _with_scales(rows, rig_scales(counts))
-    # The scales travel to Python once per group of frames.
-    opens = F.lag("frame_index").over(Window.partitionBy("episode_index", "block").orderBy("frame_index")).isNull()
-    out = scaled.withColumn("s", F.when(opens, F.col("s")))
-    return out.select("episode_index", "block", "frame_index", "own", "f0", "f1", "f2", "s", "readings").mapInArrow(lambda it: _detect(factor, longest, least_frozen, it), FOUND)
+    counts, _ = materialise(rig_histograms(placed(frames, episodes)), "rig-histograms")
+    scales, _ = materialise(rig_scales(counts), "rig-scales")
+    rules, halo = (factor, longest, least_frozen), HALO
+    judged, _ = materialise(_judged(frames, episodes, scales, rules, halo), "judged-readings")
+    found = judged
+    while not (again := judged.where("kind = 'unsettled'").select("episode_index", "block").distinct()).isEmpty():
+        halo *= 8
+        judged, _ = materialise(_judged(frames, episodes, scales, rules, halo, again), "judged-readings")
+        found = found.unionByName(judged)
+    names = ["episode_index", "frame_index", "field_name", "channel", "kind", "value"]
+    # A stretch over several blocks: its parts follow each other, the first did not begin before its block.
+    key = ["episode_index", "field_name", "channel"]
+    w = Window.partitionBy(*key)
+    parts = found.where("kind = 'part'").withColumn("stretch", F.sum((~F.col("from_before")).cast("long")).over(w.orderBy("run")))
+    stretch = Window.partitionBy(*key, "stretch")
+    frozen = parts.withColumn("all", F.sum("n").over(stretch)).withColumn("moving", F.sum("moved").over(stretch)).where((F.col("all") >= least_frozen - 1) & (F.col("moving") * 2 >= F.col("all")))
+    pending = found.where("kind = 'pending'").join(frozen.select(*key, "run"), [*key, "run"], "left_semi").withColumn("kind", F.lit("frozen"))
+    return found.where("kind in ('bounds', 'spike', 'frozen')").select(*names).unionByName(pending.select(*names))
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:

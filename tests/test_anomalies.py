@@ -80,11 +80,24 @@ def test_repeats_nulls_unknown_rig_and_order(spark):
 
 
 def test_blocks_do_not_matter(spark, monkeypatch):
-    x, y, _ = episode(1, 400)
-    for i in (31, 32, 63, 64, 96, 200):
+    """Spikes at borders, rounds that feed each other, gaps, null stretches and frozen stretches longer than block and halo."""
+    rng = np.random.default_rng(3)
+    x, y, _ = episode(1, 1500)
+    for i in (31, 32, 63, 64, 127, 128, 129, 255, 256, 257, 511, 512, 1023, 1024):
         x[i, 4] += 0.4
+        y[i, int(rng.integers(20))] -= 0.5
+    for i in range(600, 720, 2):  # a comb: every reading that is taken out uncovers others
+        x[i, 2] += 0.3 + 0.01 * (i % 7)
     x[120:140, 7] = x[120, 7]
-    rows = rows_of(1, x, y)
+    x[200:900, 5] = x[200, 5]
+    y[60:66, 3] = y[60, 3]
+    y[250:262, 11] = y[250, 11]
+    x[1100:1400, 8] = x[1100, 8]
+    x[1150:1400, [0, 1, 2, 3, 4, 5, 6, 7, 9]] = x[1150, [0, 1, 2, 3, 4, 5, 6, 7, 9]]  # moves for too small a part of the run
+    rows = rows_of(1, x, y, skip={50, 65, 66, 192, *range(300, 310), *range(770, 830)})
+    rows = [r[:9] + (None,) + r[10:] if 380 <= r[1] < 500 else r for r in rows]
     whole = found(spark, rows)
-    monkeypatch.setattr(a, "SPAN", 64)
-    assert found(spark, rows) == whole and len(whole) > 20
+    assert len(whole) > 600 and {"spike", "frozen"} <= set(whole.values())
+    for span in (64, 256):
+        monkeypatch.setattr(a, "SPAN", span)
+        assert found(spark, rows) == whole, span
