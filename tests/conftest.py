@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("warehouse")
     session = (
         SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", str(folder)).config("spark.driver.memory", "4g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", str(folder)).config("spark.checkpoint.dir", f"file://{folder}/shared").config("spark.driver.memory", "4g").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
