@@ -20,7 +20,8 @@ from kinelake.session import drop_folder, materialise
 
 GOLDEN = 0.6180339887498949
 LARGE = 1000
-BUCKETS = 16
+#: Groups that one task orders while dealing.
+BUCKET_GROUPS = 100_000
 
 
 def spanning_forest(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +98,8 @@ def deal(groups: DataFrame, plan: DataFrame) -> DataFrame:
     if not shares:
         return sized.withColumn("split", F.lit(None).cast("string"))
     whole = sum(s for _, s in shares)
-    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0.0)).alias("t")).first()["t"]
+    sums = sized.agg(F.coalesce(F.sum("size"), F.lit(0.0)).alias("t"), F.count("*").alias("n")).first()
+    total, buckets = sums["t"], max(1, -(-sums["n"] // BUCKET_GROUPS))
     large = sized.where(F.col("size") * LARGE > total)  # fewer than LARGE rows, by their definition
     lacking = {n: s / whole * total for n, s in shares}
     dealt = []
@@ -108,8 +110,8 @@ def deal(groups: DataFrame, plan: DataFrame) -> DataFrame:
     rest = {n: max(0.0, x) for n, x in lacking.items()}
     whole = sum(rest.values()) or 1.0
     band = F.when(F.col("size") > 0, F.floor(F.log2("size"))).otherwise(-1)
-    small = sized.where(~(F.col("size") * LARGE > F.lit(total))).withColumn("band", band).withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(BUCKETS)))
-    i = F.row_number().over(Window.partitionBy("band", "bucket").orderBy(F.xxhash64("group", F.lit(1)), "group")) * BUCKETS + F.col("bucket")
+    small = sized.where(~(F.col("size") * LARGE > F.lit(total))).withColumn("band", band).withColumn("bucket", F.pmod(F.xxhash64("group"), F.lit(buckets)))
+    i = F.row_number().over(Window.partitionBy("band", "bucket").orderBy(F.xxhash64("group", F.lit(1)), "group")) * buckets + F.col("bucket")
     u = (i * F.lit(GOLDEN)) % 1
     split, upto = None, 0.0
     for n, _ in shares[:-1]:
@@ -150,14 +152,32 @@ def recordings(episodes: DataFrame, tasks: DataFrame) -> DataFrame:
     return known.withColumn("recording", F.when(complete, recording)).drop("_k", "_named")
 
 
-def assign_splits(episodes: DataFrame, tasks: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(assignment, forest): (episode_index, split_name, group, length, split), ``split`` being the new one; ``length`` null counts as 0."""
-    rows, _ = materialise(recordings(episodes, tasks), "recordings")
+def frame_counts(frames: DataFrame) -> DataFrame:
+    """(episode_index, n_frames): the frames an episode has, each once however often it was delivered."""
+    return frames.where("episode_index is not null and frame_index is not null").select("episode_index", "frame_index").distinct().groupBy("episode_index").agg(F.count("*").alias("n_frames"))
+
+
+def assign_splits(episodes: DataFrame, tasks: DataFrame, plan: DataFrame, frames: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(assignment, forest): (episode_index, split_name, group, n_frames, split), ``split`` being the new one.  The shares
+    are those of the frames that ``frames`` holds; an episode without any weighs 0."""
+    rows = recordings(episodes, tasks).join(frame_counts(frames), "episode_index", "left").withColumn("n_frames", F.coalesce("n_frames", F.lit(0)))
+    rows, _ = materialise(rows, "recordings")
     groups, forest = group_records(rows, "episode_index", [F.col("recording")])
     grouped, _ = materialise(rows.join(groups, "episode_index"), "grouped")
-    roots = grouped.groupBy("group").agg(F.sum("length").alias("size"))
+    roots = grouped.groupBy("group").agg(F.sum("n_frames").alias("size"))
     dealt, _ = materialise(deal(roots, plan), "dealt")
-    return grouped.join(dealt.select("group", "split"), "group").select("episode_index", "split_name", "group", "length", "split"), forest
+    return grouped.join(dealt.select("group", "split"), "group").select("episode_index", "split_name", "group", "n_frames", "split"), forest
+
+
+def reached_shares(assigned: DataFrame, plan: DataFrame) -> DataFrame:
+    """(split, target_share, n_episodes, n_groups, n_frames, share, off): what each split of the plan got of all frames."""
+    got = assigned.groupBy("split").agg(F.count("*").alias("n_episodes"), F.countDistinct("group").alias("n_groups"), F.sum("n_frames").alias("n_frames"))
+    # The plan has a fixed number of rows, and so has what is joined to it.
+    every = plan.where("split_name is not null").groupBy(F.col("split_name").alias("split")).agg(F.max("target_share").alias("target_share")).join(got, "split", "full")
+    total = F.sum("n_frames").over(Window.partitionBy())
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    share = F.coalesce(F.col("n_frames") / F.greatest(total, F.lit(1)), F.lit(0.0))
+    return every.select("split", "target_share", zero("n_episodes"), zero("n_groups"), zero("n_frames"), share.alias("share"), (share - F.coalesce("target_share", F.lit(0.0))).alias("off"))
 
 
 def torn_apart(grouped: DataFrame) -> DataFrame:
@@ -177,13 +197,21 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
     return torn_apart(rows.join(groups, "episode_index").select("episode_index", "split_name", "group"))
 
 
+def _assigned(spark: SparkSession, root: str) -> DataFrame:
+    return assign_splits(*[spark.read.parquet(f"{root}/{t}.parquet") for t in ("episodes", "tasks", "split_plan", "frames")])[0]
+
+
 def p6_splits(spark: SparkSession, root: str) -> DataFrame:
-    """The new assignment: shares of frames reached per split."""
-    assigned, _ = assign_splits(*[spark.read.parquet(f"{root}/{t}.parquet") for t in ("episodes", "tasks", "split_plan")])
-    return assigned.select("episode_index", "group", "split")
+    """The new split of every episode."""
+    return _assigned(spark, root).select("episode_index", "group", "split")
+
+
+def p6_shares(spark: SparkSession, root: str) -> DataFrame:
+    """The shares of frames that the new splits reach, beside those of the plan."""
+    return reached_shares(_assigned(spark, root), spark.read.parquet(f"{root}/split_plan.parquet"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_splits": p6_splits}
+QUERIES = {"p6_found": p6_found, "p6_splits": p6_splits, "p6_shares": p6_shares}
 ORACLES = {
     "p6_found": r"""
         WITH e AS (SELECT DISTINCT ON (episode_index) * FROM episodes ORDER BY episode_index, ingest_ts DESC),

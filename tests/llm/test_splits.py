@@ -55,7 +55,11 @@ def test_torn_recordings(spark):
     rows += rows[:2]
     e, t = spark.createDataFrame(rows, EPISODES), spark.createDataFrame([(0, "fold_towel")], TASKS)
     plan = spark.createDataFrame([("train", 0.5), ("test", 0.5)], "split_name string, target_share double")
-    assigned, _ = s.assign_splits(e, t, plan)
+    frames = spark.createDataFrame([(i, k, k) for i, n in ((1, 30), (2, 5), (4, 7), (9, 3)) for k in [*range(n), 0]] + [(1, None, 0), (None, 1, 0)], "episode_index long, frame_index long, index long")
+    assigned, _ = s.assign_splits(e, t, plan, frames)
+    assert {r["episode_index"]: r["n_frames"] for r in assigned.collect()} == {1: 30, 2: 5, 3: 0, 4: 7, 5: 0, 6: 0, 7: 0}
+    shares = {r["split"]: r for r in s.reached_shares(assigned, plan).collect()}
+    assert set(shares) == {"train", "test"} and sum(r["n_frames"] for r in shares.values()) == 42 and sum(r["n_episodes"] for r in shares.values()) == 7
     out = {r["episode_index"]: r for r in assigned.collect()}
     assert len(out) == 7 and len({out[i]["split"] for i in (1, 2, 3, 5)}) == 1
     assert {tuple(r) for r in s.torn_apart(assigned).collect()} == {(1, 2), (2, 3)}
@@ -72,3 +76,9 @@ def test_shares(spark):
         assert abs(sum(r["size"] for r in got if r["split"] == name) / total - share) < 0.02
     empty = spark.createDataFrame([], "group string, size long")
     assert s.deal(empty, plan).count() == 0 and s.deal(spark.createDataFrame(sizes, "group string, size long"), plan.limit(0)).where("split is not null").count() == 0
+
+
+def test_shares_of_the_plan(spark):
+    """On the test tables the splits are within half a percent of the plan's shares of the frames present."""
+    for r in s.p6_shares(spark, "/root/testdata/sf0.01").collect():
+        assert abs(r["off"]) < 0.005, r
