@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import posixpath
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,14 +28,16 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from kinelake.functions.dense import longs, runs, starts_of, whole_groups
 from kinelake.functions.deliveries import block_of
-from kinelake.session import materialise
+from kinelake.session import drop_folder, materialise, shared_folder
 
 SPAN = 4096
 TARGET_BYTES = 64 << 20
+#: Records without episode or frame number are spread over so many groups.
+UNKEYED = 4096
 MISSING = np.iinfo(np.int64).min
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 SKIP_MAGIC = b"\x50\x2a\x4d\x18"
@@ -107,10 +110,11 @@ def join_zstd(parts: Iterator[bytes]) -> tuple[bytes, list[tuple[int, int]]]:
     return b"".join(out), spans
 
 
-def _member(packer, file: int, episode: int, keys: np.ndarray, kept: np.ndarray, payload: bytes) -> bytes:
+def _member(packer, file: int, episode: int, keys: np.ndarray, kept: np.ndarray, owners: np.ndarray, payload: bytes) -> bytes:
+    """``owners``: for each record that is left out, the file whose member has it."""
     body = packer.compress(payload) if len(payload) else b""
     head = HEADER.pack(file, episode, len(keys), int(kept.sum()), len(payload), len(body), xxhash.xxh64_intdigest(payload))
-    head += keys.astype("<i8").tobytes() + np.packbits(kept).tobytes()
+    head += keys.astype("<i8").tobytes() + np.packbits(kept).tobytes() + owners.astype("<i8").tobytes()
     return SKIP_MAGIC + struct.pack("<I", len(head)) + head + body
 
 
@@ -125,20 +129,21 @@ def walk_pack(body: bytes, verify: bool = True) -> Iterator[dict]:
         head = body[at + 8 : at + 8 + size]
         file, episode, n, kept_n, raw, packed, digest = HEADER.unpack(head[: HEADER.size])
         keys = np.frombuffer(head, "<i8", n, HEADER.size)
-        kept = np.unpackbits(np.frombuffer(head, np.uint8, -1, HEADER.size + 8 * n), count=n).astype(bool)
+        kept = np.unpackbits(np.frombuffer(head, np.uint8, -(-n // 8), HEADER.size + 8 * n), count=n).astype(bool)
+        owners = np.frombuffer(head, "<i8", n - kept_n, HEADER.size + 8 * n + -(-n // 8))
         payload = body[at + 8 + size : at + 8 + size + packed]
         if verify:
             text = reader.decompress(payload, max_output_size=raw) if packed else b""
             if len(payload) != packed or len(text) != raw or xxhash.xxh64_intdigest(text) != digest or int(kept.sum()) != kept_n:
                 raise ValueError(f"the member of file {file} at byte {at} does not match its header")
-        yield {"file": file, "episode": episode, "keys": keys, "kept": kept, "offset": at, "raw": raw, "packed": packed, "digest": digest, "start": at + 8 + size}
+        yield {"file": file, "episode": episode, "keys": keys, "kept": kept, "owners": owners, "offset": at, "raw": raw, "packed": packed, "digest": digest, "start": at + 8 + size}
         at += 8 + size + packed
 
 
 # ------------------------------------------------------- tiny files in a table
 
 PACK_SCHEMA = T.StructType([T.StructField("pack_id", T.StringType()), T.StructField("n_members", T.LongType()), T.StructField("n_records", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("checksum", T.LongType()), T.StructField("body", T.BinaryType())])
-INDEX_SCHEMA = "pack_id string, file_id long, episode_index long, frames array<long>, kept array<boolean>, byte_offset long, raw_bytes long, packed_bytes long, checksum long"
+INDEX_SCHEMA = "pack_id string, file_id long, episode_index long, frames array<long>, kept array<boolean>, left_out array<struct<frame:long,owner:long>>, byte_offset long, raw_bytes long, packed_bytes long, checksum long"
 
 
 def _signed(x: int) -> int:
@@ -152,7 +157,7 @@ def _pack_partition(target: int, batches):
     part = context.partitionId() if context else 0
     packer = zstandard.ZstdCompressor(level=3)
     members, held, records, count = [], 0, 0, 0
-    seen: set[int] = set()
+    seen: dict[int, int] = {}  # frame -> the file that has it, for one block
     group = None
 
     def flush():
@@ -172,18 +177,20 @@ def _pack_partition(target: int, batches):
         starts = starts_of(episode, block, file)
         for a, b in zip(starts, np.append(starts[1:], len(file))):
             if group != (episode[a], block[a]):
-                group, seen = (episode[a], block[a]), set()
+                group, seen = (episode[a], block[a]), {}
             keys = frame[a:b]
-            kept = np.ones(b - a, bool)
+            kept, owners, this = np.ones(b - a, bool), [], int(file[a])
             if keys[0] != MISSING and episode[a] != MISSING:
                 for i, k in enumerate(keys.tolist()):
-                    kept[i] = k not in seen
-                    seen.add(k)
+                    owner = seen.setdefault(k, this)
+                    if owner != this or (i and keys[i - 1] == k):
+                        kept[i] = False
+                        owners.append(owner)
             if kept.all():
                 payload = bytes(data[ends[a] : ends[b]])
             else:
                 payload = b"".join(data[ends[a + i] : ends[a + j]] for i, j in zip(*runs(kept)))
-            member = _member(packer, int(file[a]), int(episode[a]), keys, kept, payload)
+            member = _member(packer, this, int(episode[a]), keys, kept, np.array(owners, np.int64), payload)
             if members and held + len(member) > target:
                 yield flush()
             members.append(member)
@@ -205,7 +212,10 @@ def pack_frames(frames: DataFrame, target_bytes: int = TARGET_BYTES) -> DataFram
     names = frames.columns
     # The columns travel through the shuffle as they are; they are rendered as text only afterwards.
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    keyed = frames.select("file_id", "episode_index", "frame_index", block_of(F.col("frame_index"), SPAN).alias("block"), row.alias("row"))
+    # Records without key go anywhere, by their content, so that they do not meet in one task.
+    nowhere = F.col("episode_index").isNull() | F.col("frame_index").isNull()
+    block = F.when(nowhere, -1 - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.lit(UNKEYED))).otherwise(block_of(F.col("frame_index"), SPAN))
+    keyed = frames.select("file_id", "episode_index", "frame_index", block.alias("block"), row.alias("row"))
     line = F.concat(F.to_json(F.struct(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])), F.lit("\n"))
     placed = keyed.repartition("episode_index", "block").sortWithinPartitions("episode_index", "block", "file_id", "frame_index")
     return placed.select("file_id", "episode_index", "frame_index", "block", line.alias("line")).mapInArrow(lambda it: _pack_partition(target_bytes, it), PACK_SCHEMA)
@@ -227,10 +237,11 @@ def _index_partition(batches):
                         pa.array([None if r["episode"] == MISSING else r["episode"] for r in rows], pa.int64()),
                         pa.array([r["keys"] for r in rows], pa.list_(pa.int64())),
                         pa.array([r["kept"] for r in rows], pa.list_(pa.bool_())),
+                        pa.array([[{"frame": int(f), "owner": None if o == MISSING else int(o)} for f, o in zip(r["keys"][~r["kept"]], r["owners"])] for r in rows], pa.list_(pa.struct([("frame", pa.int64()), ("owner", pa.int64())]))),
                         *[pa.array([r[k] for r in rows], pa.int64()) for k in ("offset", "raw", "packed")],
                         pa.array([_signed(r["digest"]) for r in rows], pa.int64()),
                     ],
-                    names=["pack_id", "file_id", "episode_index", "frames", "kept", "byte_offset", "raw_bytes", "packed_bytes", "checksum"],
+                    names=["pack_id", "file_id", "episode_index", "frames", "kept", "left_out", "byte_offset", "raw_bytes", "packed_bytes", "checksum"],
                 )
 
 
@@ -243,17 +254,24 @@ def pack_index(packs: DataFrame) -> DataFrame:
 def overlapping_files(index: DataFrame) -> DataFrame:
     """(file_id_a, file_id_b), a < b: different files that share at least one (episode_index, frame_index).
 
-    Only keys that the packs left out somewhere (``kept`` false) can be shared, so the equi-join runs on those alone;
-    it emits the pairs asked for and nothing else.  A file that repeats its own record gives no pair."""
-    keys = index.where("file_id is not null and episode_index is not null").select("episode_index", "file_id", F.explode(F.arrays_zip("frames", "kept")).alias("k"))
-    keys = keys.select("episode_index", F.col("k.frames").alias("frame_index"), "file_id").where(F.col("frame_index") != MISSING)
-    several = keys.groupBy("episode_index", "frame_index").agg(F.min("file_id").alias("lo"), F.max("file_id").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-    # Two files only (the usual case) need no join; the rest meet pairwise on their key.
-    two = several.where("n = 2").select(F.col("lo").alias("file_id_a"), F.col("hi").alias("file_id_b"))
-    more = several.where("n > 2").select("episode_index", "frame_index")
-    held = keys.join(more, ["episode_index", "frame_index"], "left_semi").distinct()
-    pairs = held.withColumnRenamed("file_id", "file_id_a").join(held.withColumnRenamed("file_id", "file_id_b"), ["episode_index", "frame_index"]).where("file_id_a < file_id_b")
-    return two.unionByName(pairs.select("file_id_a", "file_id_b")).distinct()
+    Only records that the packs left out are looked at: each names the file that has it, which is one pair; files that
+    both left the same record out meet in an equi-join on that record, which emits the pairs asked for and nothing else.
+    A file that repeats its own record gives no pair."""
+    left = index.where("file_id is not null and episode_index is not null and size(left_out) > 0").select("episode_index", "file_id", F.explode("left_out").alias("r")).select("episode_index", F.col("r.frame").alias("frame_index"), F.col("r.owner").alias("owner"), "file_id").distinct()
+    pair = lambda a, b: (F.least(a, b).alias("file_id_a"), F.greatest(a, b).alias("file_id_b"))
+    kept = left.where("owner <> file_id").select(*pair(F.col("owner"), F.col("file_id")))
+    key = ["episode_index", "frame_index"]
+    several = left.groupBy(*key).agg(F.countDistinct("file_id").alias("n")).where("n > 1")
+    held = left.join(several, key, "left_semi").select(*key, "file_id").distinct()
+    both = held.withColumnRenamed("file_id", "a").join(held.withColumnRenamed("file_id", "b"), key).where("a < b").select(*pair(F.col("a"), F.col("b")))
+    return kept.unionByName(both).distinct()
+
+
+def _system_of(uri: str):
+    """The file system and path of a URI or path; Hadoop writes local URIs with one slash."""
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = uri.replace("file:/", "file:///", 1)
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
 
 def write_packs(packs: DataFrame, path: str) -> DataFrame:
@@ -262,16 +280,17 @@ def write_packs(packs: DataFrame, path: str) -> DataFrame:
     once complete, so a repeated task attempt overwrites it with the same bytes."""
 
     def put(batches):
-        system, folder = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+        system, folder = _system_of(path)
         system.create_dir(folder, recursive=True)
         for batch in batches:
             out = batch.to_pylist()
             for r in out:
-                r["file"] = posixpath.join(folder, f"pack-{r['pack_id']}.ndjson.zst")
-                part = f"{r['file']}.{xxhash.xxh32_hexdigest(r['pack_id'])}.part"
+                name = f"pack-{r['pack_id']}.ndjson.zst"
+                target, r["file"] = posixpath.join(folder, name), posixpath.join(path, name)
+                part = f"{target}.{xxhash.xxh32_hexdigest(r['pack_id'])}.part"
                 with system.open_output_stream(part, compression=None) as f:
                     f.write(r.pop("body"))
-                system.move(part, r["file"])
+                system.move(part, target)
             yield pa.RecordBatch.from_pylist(out, pa.schema([("pack_id", pa.string()), ("file", pa.string()), *[(c, pa.int64()) for c in ("n_members", "n_records", "n_bytes", "checksum")]]))
 
     return packs.mapInArrow(put, "pack_id string, file string, n_members long, n_records long, n_bytes long, checksum long")
@@ -279,26 +298,32 @@ def write_packs(packs: DataFrame, path: str) -> DataFrame:
 
 # ------------------------------------------------------------ files in storage
 
+#: Files of a listing whose lengths one task sums up.
+BUCKET_FILES = 1_000_000
 FILE_MANIFEST = "pack_id long, file string, source string, byte_offset long, n_bytes long, checksum long, error string"
 
 
 def compact_files(spark: SparkSession, listing: DataFrame, out: str, kind: str = "ndjson", target_bytes: int = TARGET_BYTES, header_lines: int = 0) -> DataFrame:
     """Joins the files of ``listing`` (``path``, ``length``) into files of about ``target_bytes`` under ``out``.
 
-    ``kind`` is ``ndjson`` or ``zstd``.  The number of packs comes from the summed length and files are dealt to packs by
-    hash, so no task sees the whole listing.  Returns one row per source file: its pack, byte offset, length and xxh64;
+    ``kind`` is ``ndjson`` or ``zstd``.  Files are dealt to packs by their running length, largest first, so a pack holds
+    ``target_bytes`` and at most one file more; long listings are cut into buckets by hash, of at least 16 packs each, so
+    no task sees the whole listing.  A file of unknown length counts as ``target_bytes``.  Returns one row per source file: its pack, byte offset, length and xxh64;
     a file that cannot be read or is damaged is left out of the pack and named in ``error``, never silently dropped.  A
     path listed twice is taken once; an empty file has length 0.  The manifest is lazy: writing happens when it is used,
     and a repeated attempt writes the same bytes."""
-    files = listing.select("path", F.coalesce("length", F.lit(0)).alias("length")).where("path is not null").groupBy("path").agg(F.max("length").alias("length"))
-    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, -(-int(total) // target_bytes))
-    dealt = files.select("path", F.pmod(F.xxhash64("path"), F.lit(n)).alias("pack_id")).repartition(n, "pack_id").sortWithinPartitions("pack_id", "path")
+    files = listing.select("path", "length").where("path is not null").groupBy("path").agg(F.max(F.coalesce("length", F.lit(target_bytes))).alias("length"))
+    files = files.withColumn("length", F.greatest(F.lit(0), "length"))
+    total = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    buckets = max(1, min(-(-total["n"] // BUCKET_FILES), int(total["bytes"]) // (16 * target_bytes)))
+    bucket = F.pmod(F.xxhash64("path"), F.lit(buckets))
+    order = Window.partitionBy("bucket").orderBy(F.desc("length"), "path")
+    upto = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    filled = files.withColumn("bucket", bucket).withColumn("fill", F.floor(F.coalesce(upto, F.lit(0)) / F.lit(target_bytes)).cast("long"))
+    n = max(1, -(-int(total["bytes"]) // target_bytes))
+    dealt = filled.select("path", (F.col("fill") * buckets + F.col("bucket")).alias("pack_id")).repartition(min(n, 100_000), "pack_id").sortWithinPartitions("pack_id", "path")
 
     def join(batches):
-        def system_of(uri):
-            return pafs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri) if ":/" in uri else (pafs.LocalFileSystem(), uri)
-
         for table in whole_groups(batches, "pack_id", rows=1):
             ids, paths = table.column("pack_id").to_pylist(), table.column("path").to_pylist()
             at = starts_of(np.asarray(ids))
@@ -306,7 +331,7 @@ def compact_files(spark: SparkSession, listing: DataFrame, out: str, kind: str =
                 good, rows = [], []
                 for p in paths[a:b]:
                     try:
-                        system, name = system_of(p)
+                        system, name = _system_of(p)
                         with system.open_input_stream(name, compression=None) as f:
                             data = f.read()
                         if kind == "zstd":
@@ -315,9 +340,10 @@ def compact_files(spark: SparkSession, listing: DataFrame, out: str, kind: str =
                     except (OSError, ValueError) as e:
                         rows.append({"source": p, "error": str(e)})
                 body, spans = join_zstd(d for _, d in good) if kind == "zstd" else join_ndjson((d for _, d in good), header_lines)
-                system, folder = system_of(out)
+                system, folder = _system_of(out)
                 system.create_dir(folder, recursive=True)
-                target = posixpath.join(folder, f"pack-{ids[a]:06d}." + ("ndjson.zst" if kind == "zstd" else "ndjson"))
+                name = f"pack-{ids[a]:06d}." + ("ndjson.zst" if kind == "zstd" else "ndjson")
+                target = posixpath.join(folder, name)
                 with system.open_output_stream(target + ".part", compression=None) as f:
                     f.write(body)
                 system.move(target + ".part", target)
@@ -325,7 +351,7 @@ def compact_files(spark: SparkSession, listing: DataFrame, out: str, kind: str =
                     if xxhash.xxh64_intdigest(f.read()) != xxhash.xxh64_intdigest(body):
                         raise OSError(f"{target} was not written as joined")
                 rows += [{"source": p, "byte_offset": o, "n_bytes": k, "checksum": _signed(xxhash.xxh64_intdigest(body[o : o + k])), "error": None} for (p, _), (o, k) in zip(good, spans)]
-                yield pa.RecordBatch.from_pylist([{"pack_id": ids[a], "file": target, "byte_offset": None, "n_bytes": None, "checksum": None} | r for r in rows], pa.schema([("pack_id", pa.int64()), ("file", pa.string()), ("source", pa.string()), ("byte_offset", pa.int64()), ("n_bytes", pa.int64()), ("checksum", pa.int64()), ("error", pa.string())]))
+                yield pa.RecordBatch.from_pylist([{"pack_id": ids[a], "file": posixpath.join(out, name), "byte_offset": None, "n_bytes": None, "checksum": None} | r for r in rows], pa.schema([("pack_id", pa.int64()), ("file", pa.string()), ("source", pa.string()), ("byte_offset", pa.int64()), ("n_bytes", pa.int64()), ("checksum", pa.int64()), ("error", pa.string())]))
 
     return dealt.select("pack_id", "path").mapInArrow(join, FILE_MANIFEST)
 
@@ -341,11 +367,56 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p1_packs(spark: SparkSession, root: str) -> DataFrame:
-    """The compaction itself: one row per pack."""
+    """The compaction before anything is written: one row per pack."""
     return pack_frames(spark.read.parquet(f"{root}/frames.parquet")).drop("body")
 
 
-QUERIES = {"p1_found": p1_found, "p1_packs": p1_packs}
+def consolidate(frames: DataFrame, folder: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Writes the tiny files of ``frames`` as few well-sized packs under ``folder`` and returns the manifest of
+    :func:`compact_files`.
+
+    Every task writes what it has as packs of at most ``target_bytes`` (byte concatenations of members); then the packs
+    are joined byte by byte, as complete zstandard frames, up to ``target_bytes``, whatever the number of tasks was."""
+    spark = frames.sparkSession
+    parts, parts_path = materialise(write_packs(pack_frames(frames, target_bytes), f"{folder}/parts"), "pack-parts")
+    manifest, _ = materialise(compact_files(spark, parts.select(F.col("file").alias("path"), F.col("n_bytes").alias("length")), f"{folder}/packs", "zstd", target_bytes), "pack-manifest")
+    drop_folder(spark, f"{folder}/parts")
+    drop_folder(spark, parts_path)
+    return manifest
+
+
+def verified_packs(manifest: DataFrame) -> DataFrame:
+    """(pack_id, n_bytes, n_members, n_records, checksum): every pack of a manifest read back from its file, with all
+    lengths and checksums of members verified; a part that could not be joined fails."""
+
+    def read(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["error"]:
+                    raise ValueError(row["error"])
+                system, name = _system_of(row["file"])
+                with system.open_input_stream(name, compression=None) as f:
+                    body = f.read()
+                members = list(walk_pack(body))
+                yield pa.RecordBatch.from_pylist([{"pack_id": row["pack_id"], "n_bytes": len(body), "n_members": len(members), "n_records": int(sum(m["kept"].sum() for m in members)), "checksum": _signed(xxhash.xxh64_intdigest(body))}])
+
+    files = manifest.groupBy("pack_id", "file").agg(F.max("error").alias("error"))
+    return files.mapInArrow(read, "pack_id long, n_bytes long, n_members long, n_records long, checksum long")
+
+
+def p1_written(spark: SparkSession, root: str) -> DataFrame:
+    """Packs written to the shared folder, read back and verified: packs, bytes, records and the records that should be there."""
+    folder = f"{shared_folder(spark)}/packs-{uuid.uuid4().hex}"
+    frames = spark.read.parquet(f"{root}/frames.parquet")
+    done = verified_packs(consolidate(frames, folder)).agg(F.count("*").alias("n_packs"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"), F.coalesce(F.max("n_bytes"), F.lit(0)).alias("largest"), F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_records"))
+    keyed = frames.where("episode_index is not null and frame_index is not null")
+    due = keyed.select("episode_index", "frame_index").distinct().count() + frames.count() - keyed.count()
+    out, _ = materialise(done.withColumn("n_due", F.lit(due)), "packs-written")
+    drop_folder(spark, folder)
+    return out
+
+
+QUERIES = {"p1_found": p1_found, "p1_packs": p1_packs, "p1_written": p1_written}
 ORACLES = {
     "p1_found": """
         SELECT DISTINCT a.file_id AS file_id_a, b.file_id AS file_id_b
