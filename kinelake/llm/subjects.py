@@ -4,11 +4,12 @@ A word's vector is the mean of its own and its subwords' embeddings (both hashed
 the mean of its words' vectors; each subject has its own logistic output, so a sentence may treat several or none.  One
 more output recognises quoted evaluation passages, for which the test items are the positive examples.
 
-Training: labelled documents are dealt to at most ``MAX_PARTS`` partitions; in every round each partition walks its
-sentences in small batches from the shared parameters and the summed gradient steps of all partitions are averaged into
-the next ones.  Sentences first inherit their document's labels; a second phase lets each sentence keep only the labels
-its own score supports, so that neutral sentences and wrong labels stop counting.  The labelled sample is bounded by
-``MAX_DOCS`` documents (the lowest hashes); the parameters have a fixed size, whatever the corpus.
+Training: the sentences of the labelled documents are dealt to partitions that are held in one barrier stage.  In every
+step each partition computes the gradient of its share of the batch, the gradients of all partitions are gathered and
+summed, and every partition takes the same step, so all hold the same parameters throughout.  Sentences first inherit
+their document's labels; later phases let each sentence keep only the labels its own score supports, so that neutral
+sentences and wrong labels stop counting.  The sample is bounded by ``max_docs`` labelled documents and as many quoted
+passages (the lowest hashes); the parameters have a fixed size, whatever the corpus.
 
 Scoring: every document, whole, in one scan: own sentences are those that are no log line, code, heading, boilerplate or
 quotation.  Boilerplate is found over all documents as lines that keep closing documents (a hash aggregation).  A
@@ -20,21 +21,30 @@ from __future__ import annotations
 import functools
 import hashlib
 import html
+import json
 import re
+import secrets
+import socket
+import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinelake.session import materialise
+from kinelake.session import drop_folder, materialise
 
 BUCKETS = 1 << 14
 DIM = 16
 MAX_DOCS = 6_000
-MAX_PARTS = 4
-DOCS_A_PART = 1_000
+#: Partitions that train together; the cluster must run so many tasks at once.
+PARTS = 4
+#: Sentences a step takes from all partitions together, fewer where a round would have less than ``STEPS`` steps.
+BATCH = 256
+STEPS = 100
 ROUNDS = (8, 6, 6)
+#: Stands for "a quoted passage" among the labels.
+QUOTED = -1
 SHARE = 0.25
 THRESHOLD = 0.5
 
@@ -135,6 +145,10 @@ class Sparse:
         n = self.length[rows]
         return np.add.reduceat(table[self.column[at]], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0) / n[:, None]
 
+    def columns(self, rows: np.ndarray) -> np.ndarray:
+        """The distinct columns that ``rows`` use, ascending."""
+        return np.unique(np.concatenate([self.column[self.start[r] : self.start[r + 1]] for r in rows]))
+
     def spread(self, gradient: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
         out = np.zeros((self.width, gradient.shape[1]))
         if rows is None:
@@ -165,32 +179,91 @@ def word_vectors(vocabulary: list[str], e: np.ndarray) -> np.ndarray:
     return Sparse([features(w) for w in vocabulary], len(e)).mean(e)
 
 
-def walk(parameters: dict, rows: list[list[str]], target: np.ndarray, weight: np.ndarray, seed: int, batch: int = 128, rate: float = 0.03) -> dict:
-    """One pass of Adam over the sentences in batches; the parameters after it."""
-    vocabulary, lists = index_words(rows)
-    per_word = Sparse([features(w) for w in vocabulary], len(parameters["e"]))
-    used = np.unique(per_word.column)
-    local = Sparse([np.searchsorted(used, features(w)) for w in vocabulary], len(used))
-    per_sentence = Sparse(lists, len(vocabulary))
-    p = {"e": parameters["e"][used].copy(), "w": parameters["w"].copy(), "b": parameters["b"].copy()}
-    m, v = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(rows))
-    step = 0
-    for lo in range(0, len(order), batch):
-        at = order[lo : lo + batch]
-        x = per_sentence.mean(local.mean(p["e"]), at)
-        z = x @ p["w"] + p["b"]
-        g = (1 / (1 + np.exp(-z)) - target[at]) * weight[at] / len(at)
-        gradient = {"w": x.T @ g, "b": g.sum(0), "e": local.spread(per_sentence.spread(g @ p["w"].T, at))}
-        step += 1
-        for k in p:
-            m[k] = 0.9 * m[k] + 0.1 * gradient[k]
-            v[k] = 0.99 * v[k] + 0.01 * gradient[k] ** 2
-            p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
-    out = {"e": parameters["e"].copy(), "w": p["w"], "b": p["b"]}
-    out["e"][used] = p["e"]
-    return out
+class Trainer:
+    """Synchronised gradient descent (Adam, on the rows that have a gradient) over the sentences of all partitions.
+
+    ``gather`` takes this partition's message and returns those of all partitions, in their order; alone it is the list of
+    the one.  What is exchanged in a step: the summed gradients of the outputs and of the words' vectors, and the number
+    of sentences.  Words spread their gradients over their subwords after the sum, alike in every partition."""
+
+    def __init__(self, rows: list[list[str]], outputs: int, gather, seed: int = 7):
+        self.gather = gather
+        own = sorted({w for r in rows for w in r})
+        vocabulary = sorted(set().union(*[m.decode().split() for m in gather(" ".join(own).encode())]))
+        number = {w: k for k, w in enumerate(vocabulary)}
+        self.n = len(rows)
+        self.total = sum(int(m) for m in gather(str(self.n).encode()))
+        self.sentences = Sparse([np.array([number[w] for w in r]) for r in rows], len(vocabulary)) if rows else None
+        features_of = [features(w) for w in vocabulary]
+        self.used = np.unique(np.concatenate(features_of)) if vocabulary else np.zeros(0, int)
+        self.words = Sparse([np.searchsorted(self.used, f) for f in features_of], len(self.used)) if vocabulary else None
+        self.full = new_parameters(outputs, seed)
+        self.p = {"e": self.full["e"][self.used], "w": self.full["w"].copy(), "b": self.full["b"].copy()}
+        self.m, self.v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
+        self.steps = 0
+
+    def parameters(self) -> dict[str, np.ndarray]:
+        e = self.full["e"].copy()
+        e[self.used] = self.p["e"]
+        return {"e": e, "w": self.p["w"], "b": self.p["b"]}
+
+    def scores(self) -> np.ndarray:
+        if not self.n:
+            return np.zeros((0, len(self.p["b"])))
+        x = self.sentences.mean(self.words.mean(self.p["e"]))
+        return 1 / (1 + np.exp(-(x @ self.p["w"] + self.p["b"])))
+
+    def summed(self, values: np.ndarray) -> np.ndarray:
+        """The sum over all partitions."""
+        return sum(np.frombuffer(m) for m in self.gather(_joined(values.astype(np.float64)))).reshape(values.shape)
+
+    def _gradient(self, at: np.ndarray, target: np.ndarray, weight: np.ndarray) -> bytes:
+        outputs = len(self.p["b"])
+        gw, gb, words, gv = np.zeros((DIM, outputs)), np.zeros(outputs), np.zeros(0, int), np.zeros((0, DIM))
+        if len(at):
+            words = self.sentences.columns(at)
+            lists = [np.searchsorted(words, self.sentences.column[self.sentences.start[r] : self.sentences.start[r + 1]]) for r in at]
+            local = Sparse(lists, len(words))
+            x = local.mean(self.words.mean(self.p["e"], words))
+            g = (1 / (1 + np.exp(-(x @ self.p["w"] + self.p["b"]))) - target[at]) * weight[at]
+            gw, gb, gv = x.T @ g, g.sum(0), local.spread(g @ self.p["w"].T)
+        return _joined(np.array([len(at)], np.float32), gw.astype(np.float32), gb.astype(np.float32), words.astype(np.int32), gv.astype(np.float32))
+
+    def walk(self, target: np.ndarray, weight: np.ndarray, seed: int, batch: int = BATCH, rate: float = 0.03) -> None:
+        """One pass over the sentences; every step takes an equal part of each partition's."""
+        outputs = len(self.p["b"])
+        order = np.random.default_rng(seed).permutation(self.n)
+        batch = max(16, min(batch, self.total // STEPS))
+        for at in np.array_split(order, max(1, -(-self.total // batch))):
+            n, gradient = 0.0, {"w": np.zeros((DIM, outputs)), "b": np.zeros(outputs)}
+            words, vectors = [], []
+            for data in self.gather(self._gradient(at, target, weight)):
+                head = np.frombuffer(data, "<f4", 1 + (DIM + 1) * outputs).astype(np.float64)
+                n += head[0]
+                gradient["w"] += head[1 : 1 + DIM * outputs].reshape(DIM, outputs)
+                gradient["b"] += head[1 + DIM * outputs :]
+                rest = (len(data) - head.size * 4) // (4 + 4 * DIM)
+                words.append(np.frombuffer(data, "<i4", rest, head.size * 4))
+                vectors.append(np.frombuffer(data, "<f4", rest * DIM, head.size * 4 + rest * 4).reshape(rest, DIM))
+            if not n:
+                continue
+            word, place = np.unique(np.concatenate(words), return_inverse=True)
+            sums = np.zeros((len(word), DIM))
+            np.add.at(sums, place, np.concatenate(vectors))
+            # A word's vector is the mean of its rows, so each row takes its share of the word's gradient.
+            rows = self.words.columns(word)
+            per = Sparse([np.searchsorted(rows, self.words.column[self.words.start[k] : self.words.start[k + 1]]) for k in word], len(rows))
+            gradient["e"] = per.spread(sums)
+            self.steps += 1
+            for k, g in gradient.items():
+                here = rows if k == "e" else slice(None)
+                self.m[k][here] = 0.9 * self.m[k][here] + 0.1 * g / n
+                self.v[k][here] = 0.99 * self.v[k][here] + 0.01 * (g / n) ** 2
+                self.p[k][here] -= rate * (self.m[k][here] / (1 - 0.9**self.steps)) / (np.sqrt(self.v[k][here] / (1 - 0.99**self.steps)) + 1e-8)
+
+
+def _joined(*arrays: np.ndarray) -> bytes:
+    return b"".join(a.tobytes() for a in arrays)
 
 
 def scores(parameters: dict, rows: list[list[str]]) -> np.ndarray:
@@ -202,13 +275,14 @@ def scores(parameters: dict, rows: list[list[str]]) -> np.ndarray:
     return 1 / (1 + np.exp(-(x @ parameters["w"] + parameters["b"])))
 
 
-def refined(p: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Targets and weights of a later phase, from the scores ``p`` of the sentences and their documents' labels.
+def refined(p: np.ndarray, target: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Targets and weights of a later phase, from the scores ``p`` of the sentences, their documents' labels and each
+    label's share of all sentences.
 
     A sentence without subject scores about what the label's share is, so a label stays only where the score is above a
     half, or for rare labels at several times the share; a sure score counts even without the label.  Scores in between
     have no weight."""
-    share = np.clip(target.mean(0), 0.01, 1)
+    share = np.clip(share, 0.01, 1)
     bar = np.clip(6 * share, 0.2, 0.5)
     own = target > 0
     keep = (own & (p >= bar)) | (~own & (p >= 0.7))
@@ -246,15 +320,16 @@ def boilerplate(documents: DataFrame, least: int = 5, share: float = 0.001, clos
 
 def _split(skip: frozenset, batches):
     for batch in batches:
-        rows = {"part": [], "doc_id": [], "labels": [], "words": []}
+        rows = {"part": [], "doc_id": [], "at": [], "labels": [], "words": []}
         for part, doc, labels, text in zip(*(c.to_pylist() for c in batch.columns)):
-            for w in sentences(text, skip):
+            for at, w in enumerate(sentences(text, skip)):
+                rows["at"].append(at)
                 rows["part"].append(part)
                 rows["doc_id"].append(doc)
                 rows["labels"].append(labels)
                 rows["words"].append(w)
         if rows["part"]:
-            yield pa.RecordBatch.from_arrays([pa.array(rows["part"], pa.int64()), pa.array(rows["doc_id"], pa.int64()), pa.array(rows["labels"], pa.list_(pa.int64())), pa.array(rows["words"], pa.list_(pa.string()))], names=list(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(rows["part"], pa.int64()), pa.array(rows["doc_id"], pa.int64()), pa.array(rows["at"], pa.int64()), pa.array(rows["labels"], pa.list_(pa.int64())), pa.array(rows["words"], pa.list_(pa.string()))], names=list(rows))
 
 
 def _packed(p: dict) -> bytes:
@@ -267,59 +342,131 @@ def _unpacked(data: bytes, outputs: int) -> dict:
     return {"e": x[:e].reshape(-1, DIM), "w": x[e : e + w].reshape(DIM, outputs), "b": x[e + w :]}
 
 
-def _round(now: bytes, opened: bytes | None, subjects: list[int], quoted: list[list[str]], parts: int, seed: int):
-    """A partition's walk of one round.  ``opened``: the parameters at the phase's start, from which targets follow."""
-    outputs = len(subjects) + 1
+class Exchange:
+    """Gathers messages among the tasks of a barrier stage over sockets to the first task; Spark's own gathering, which
+    polls once a second, only tells the tasks where to connect.  A lost task breaks the connections, all tasks fail, and
+    Spark runs the stage again as a whole."""
+
+    TIMEOUT = 600
+
+    def __init__(self, context):
+        self.rank, size = context.partitionId(), len(context.getTaskInfos())
+        self.peers: list[socket.socket] = []
+        token = secrets.token_hex(16)
+        server = socket.create_server(("", 0), backlog=size) if self.rank == 0 else None
+        host = context.getTaskInfos()[self.rank].address.rsplit(":", 1)[0]
+        told = json.loads(context.allGather(json.dumps([host, server.getsockname()[1] if server else 0, token]))[0])
+        if server:
+            server.settimeout(self.TIMEOUT)
+            found: dict[int, socket.socket] = {}
+            while len(found) < size - 1:
+                peer, _ = server.accept()
+                self._ready(peer)
+                rank, given = json.loads(self._receive(peer))
+                if given == token:
+                    found[rank] = peer
+            server.close()
+            self.peers = [found[k] for k in sorted(found)]
+        else:
+            peer = socket.create_connection((told[0], told[1]), self.TIMEOUT)
+            self._ready(peer)
+            self._send(peer, json.dumps([self.rank, told[2]]).encode())
+            self.peers = [peer]
+
+    def _ready(self, peer) -> None:
+        peer.settimeout(self.TIMEOUT)
+        peer.setsockopt(socket.IPPROTO_TCP, socket.TCP_NODELAY, 1)
+
+    @staticmethod
+    def _send(peer, data: bytes) -> None:
+        peer.sendall(struct.pack("<q", len(data)) + data)
+
+    @staticmethod
+    def _receive(peer) -> bytes:
+        def exactly(n):
+            out = bytearray()
+            while len(out) < n:
+                got = peer.recv(min(n - len(out), 1 << 20))
+                if not got:
+                    raise ConnectionError("a training task was lost")
+                out += got
+            return bytes(out)
+
+        return exactly(struct.unpack("<q", exactly(8))[0])
+
+    def __call__(self, message: bytes) -> list[bytes]:
+        """The messages of all tasks, in their order."""
+        if self.rank:
+            self._send(self.peers[0], message)
+            packed = self._receive(self.peers[0])
+        else:
+            every = [message, *[self._receive(p) for p in self.peers]]
+            packed = struct.pack("<q", len(every)) + b"".join(struct.pack("<q", len(m)) for m in every) + b"".join(every)
+            for p in self.peers:
+                self._send(p, packed)
+        n = struct.unpack_from("<q", packed)[0]
+        lengths = struct.unpack_from(f"<{n}q", packed, 8)
+        at, out = 8 + 8 * n, []
+        for size in lengths:
+            out.append(packed[at : at + size])
+            at += size
+        return out
+
 
-    def run(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        order = np.argsort(table.column("doc_id").combine_chunks().to_numpy(zero_copy_only=False), kind="stable")
-        rows = table.column("words").take(pa.array(order)).to_pylist()
-        labels = table.column("labels").take(pa.array(order)).to_pylist()
-        extra = quoted[part % parts :: parts]
-        place = {s: k for k, s in enumerate(subjects)}
-        target = np.zeros((len(rows) + len(extra), outputs))
-        for i, own in enumerate(labels):
-            for s in own:
-                if s in place:
-                    target[i, place[s]] = 1
-        n = len(rows)
-        target[n:, -1] = 1
-        weight = np.ones_like(target)
-        rows = rows + extra
-        if opened is not None:
-            p = scores(_unpacked(opened, outputs), rows[:n])
-            target[:n], weight[:n] = refined(p, target[:n])
-            target[:n, -1] = 0
-            weight[:n, -1] = 1
-            weight[:n][p[:, -1] > 0.5] = 0  # a quotation teaches nothing about subjects
-        after = walk(_unpacked(now, outputs), rows, target, weight, seed + part)
-        return pa.table({"part": pa.array([part], pa.int64()), "n": pa.array([len(rows)], pa.int64()), "parameters": pa.array([_packed(after)], pa.binary())})
-
-    return run
-
-
-def train(documents: DataFrame, labels: DataFrame, items: DataFrame, subjects: list[int], skip: frozenset, max_docs: int = MAX_DOCS) -> bytes:
-    """The trained parameters (fixed size), from a sample of at most ``max_docs`` labelled documents."""
+def _train(subjects: list[int], rounds: tuple, batches):
+    """A partition's part in the training; the first one returns the parameters."""
+    from pyspark import BarrierTaskContext
+
+    context = BarrierTaskContext.get()
+    table = [pa.Table.from_batches([b]) for b in batches]
+    rows, labels = [], []
+    if table:
+        joined = pa.concat_tables(table).sort_by([("doc_id", "ascending"), ("at", "ascending")])
+        rows, labels = joined.column("words").to_pylist(), joined.column("labels").to_pylist()
+    place = {s: k for k, s in enumerate(subjects)} | {QUOTED: len(subjects)}
+    given = np.zeros((len(rows), len(place)))
+    for i, own in enumerate(labels):
+        given[i, [place[s] for s in own if s in place]] = 1
+    trainer = Trainer(rows, len(place), Exchange(context))
+    quoted = given[:, -1] > 0
+    known = max(1.0, float(trainer.summed(np.array([float((~quoted).sum())]))[0]))
+    share = trainer.summed(given[~quoted].sum(0)) / known
+    target, weight = given, np.ones_like(given)
+    for phase, n in enumerate(rounds):
+        if phase:
+            p = trainer.scores()
+            target, weight = refined(p, given, share)
+            target[:, -1], weight[:, -1] = quoted, 1
+            weight[~quoted & (p[:, -1] > 0.5), :-1] = 0  # a quotation teaches nothing about subjects
+            target[quoted, :-1], weight[quoted, :-1] = 0, 1
+        for r in range(n):
+            trainer.walk(target, weight, 1000 * phase + 10 * r + context.partitionId())
+    if context.partitionId() == 0:
+        yield pa.record_batch([pa.array([_packed(trainer.parameters())], pa.binary())], names=["parameters"])
+
+
+def train(documents: DataFrame, labels: DataFrame, items: DataFrame, subjects: list[int], skip: frozenset, max_docs: int = MAX_DOCS, parts: int = PARTS) -> bytes:
+    """The trained parameters (fixed size), from a sample of at most ``max_docs`` labelled documents and ``max_docs``
+    quoted passages.  ``parts`` partitions train together, or as many as the session can run at once."""
     given = labels.where("doc_id is not null and subject_id is not null").groupBy("doc_id").agg(F.collect_set("subject_id").alias("labels"))
-    sample, _ = materialise(given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs), "label-sample")
-    n = sample.count()
-    parts = int(min(MAX_PARTS, max(1, -(-n // DOCS_A_PART))))
+    sample, sample_path = materialise(given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs), "label-sample")
+    spark = documents.sparkSession
+    parts = max(1, min(parts, spark.sparkContext.defaultParallelism))
     texts = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("labels").cast("array<long>").alias("labels")), "doc_id")
-    rows, _ = materialise(texts.select(F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"), "doc_id", "labels", "text").mapInArrow(_splitter(skip), "part long, doc_id long, labels array<long>, words array<string>"), "labelled-sentences")
-    quoted = [w for r in items.where("passage is not null").select("passage").distinct().orderBy(F.xxhash64("passage"), "passage").limit(max_docs).collect() for w in sentences(r["passage"], frozenset())]
+    passages = items.where("passage is not null").select("passage").distinct().orderBy(F.xxhash64("passage"), "passage").limit(max_docs)
+    quotes = passages.select(F.xxhash64("passage").alias("doc_id"), F.col("passage").alias("text"), F.array(F.lit(QUOTED).cast("long")).alias("labels"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("long")
+    split = lambda df, lines: df.select(part.alias("part"), "doc_id", "labels", "text").mapInArrow(_splitter(lines), "part long, doc_id long, at long, labels array<long>, words array<string>")
+    rows, rows_path = materialise(split(texts, skip).unionByName(split(quotes, frozenset())), "labelled-sentences")
     outputs = len(subjects) + 1
-    now, opened = _packed(new_parameters(outputs)), None
-    for phase, rounds in enumerate(ROUNDS):
-        opened = now if phase else None
-        for r in range(rounds):
-            got = rows.repartition(parts, "part").groupBy("part").applyInArrow(_round(now, opened, subjects, quoted, parts, 1000 * phase + 10 * r), "part long, n long, parameters binary").collect()  # at most MAX_PARTS rows
-            if not got:
-                return now
-            total = sum(x["n"] for x in got)
-            mean = sum(np.frombuffer(x["parameters"], "<f4") * (x["n"] / total) for x in sorted(got, key=lambda x: x["part"]))
-            now = mean.astype("<f4").tobytes()
-    return now
+    if sample.isEmpty():
+        return _packed(new_parameters(outputs))
+    rounds = ROUNDS
+    held = rows.repartitionById(parts, F.col("part").cast("int"))
+    got = held.mapInArrow(lambda it: _train(subjects, rounds, it), "parameters binary", barrier=True).collect()  # one row
+    for path in (sample_path, rows_path):
+        drop_folder(spark, path)
+    return bytes(got[0]["parameters"])
 
 
 def _splitter(skip):
@@ -369,7 +516,7 @@ def document_subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame,
     ignored, repeated ones count once; without any label no document gets a subject.  A document delivered several times
     gives a row per delivery.  Whole texts are read; extra columns are ignored."""
     subjects = [int(r["subject_id"]) for r in areas.where("subject_id is not null").select("subject_id").distinct().orderBy("subject_id").collect()]  # a fixed table
-    instructions = [line_key(r["instruction"]) for r in items.where("instruction is not null").select("instruction").distinct().orderBy("instruction").limit(MAX_DOCS).collect()]
+    instructions = [line_key(r["instruction"]) for r in items.where("instruction is not null").select("instruction").distinct().collect()]  # one line per benchmark
     skip = frozenset(r["line"] for r in boilerplate(documents).collect()) | frozenset(instructions)  # at most 1,000 lines
     parameters = train(documents, labels, items, subjects, skip)
     counted = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scorer(parameters, subjects, skip), "doc_id long, n_sentences long, counts array<long>")

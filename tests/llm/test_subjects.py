@@ -42,8 +42,7 @@ def shares(text):
     return {k for k, words in TOPICS.items() if found and sum(any(w in words for w in f) for f in found) * 4 >= len(found)}
 
 
-def test_held_out_accuracy(spark, monkeypatch):
-    monkeypatch.setattr(s, "DOCS_A_PART", 300)
+def test_held_out_accuracy(spark):
     docs, labels = corpus(1000)
     extra = [(9000, None), (9001, ""), (9002, "ok"), (9003, "word " * 50_000), (9004, docs[0][1])]
     got = {r["doc_id"]: {x["subject_id"] for x in r["subjects"]} for r in s.document_subjects(*tables(spark, docs + extra, labels + labels[:5] + [(99_999, 1), (3, None), (1, 77)])).collect()}
@@ -76,14 +75,63 @@ def test_boilerplate(spark):
     assert got == [s.line_key(FOOTER)]
 
 
-def test_gradient_step_learns():
-    rows, target = [], []
+def _lockstep(shards, targets, rounds, batch=64):
+    """Trainers of several partitions in one process, step by step together."""
+    import threading
+
+    n = len(shards)
+    board, barrier = [None] * n, threading.Barrier(n)
+    out = [None] * n
+
+    def run(k):
+        def gather(message):
+            board[k] = message
+            barrier.wait()
+            got = list(board)
+            barrier.wait()
+            return got
+
+        t = s.Trainer(shards[k], 2, gather)
+        for r in range(rounds):
+            t.walk(targets[k], np.ones_like(targets[k]), 10 * r + k, batch)
+        out[k] = t
+
+    threads = [threading.Thread(target=run, args=(k,)) for k in range(n)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    return out
+
+
+def _sample(n=600):
     rng = random.Random(0)
-    for _ in range(600):
+    rows, target = [], []
+    for _ in range(n):
         k = rng.choice([0, 1])
         rows.append([rng.choice(TOPICS[k + 1]), "the", "is", rng.choice(["near", "far"])])
         target.append([1 - k, k])
-    p = s.new_parameters(2)
+    return rows, np.array(target, float)
+
+
+def test_gradient_steps_learn():
+    rows, target = _sample()
+    t = s.Trainer(rows, 2, lambda m: [m])
     for r in range(6):
-        p = s.walk(p, rows, np.array(target, float), np.ones((600, 2)), r)
-    assert ((s.scores(p, rows) > 0.5) == np.array(target, bool)).mean() > 0.97
+        t.walk(target, np.ones_like(target), r, 64)
+    assert ((t.scores() > 0.5) == (target > 0)).mean() > 0.97
+    assert ((s.scores(t.parameters(), rows) > 0.5) == (target > 0)).mean() > 0.97
+
+
+def test_partitions_stay_equal_and_sum_their_gradients(monkeypatch):
+    """Every partition holds the same parameters after every step, also an empty one; one step over a whole batch is the
+    step that a single partition takes."""
+    rows, target = _sample()
+    a, b, c = _lockstep([rows[:200], rows[200:], []], [target[:200], target[200:], target[:0]], 6)
+    for k in a.p:
+        assert (a.p[k] == b.p[k]).all() and (a.p[k] == c.p[k]).all()
+    assert ((s.scores(a.parameters(), rows) > 0.5) == (target > 0)).mean() > 0.97
+    monkeypatch.setattr(s, "STEPS", 1)
+    one = s.Trainer(rows, 2, lambda m: [m])
+    one.walk(target, np.ones_like(target), 0, 10_000)
+    two = _lockstep([rows[:300], rows[300:]], [target[:300], target[300:]], 1, 10_000)[0]
+    for k in one.p:
+        assert np.allclose(one.p[k], two.p[k], atol=1e-4)
