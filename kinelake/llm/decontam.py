@@ -1,32 +1,35 @@
 """Evaluation passages inside training text.
 
 A generalised suffix automaton holds all word sequences of the normalised test items.  Every document is streamed
-through it word by word, tracking the longest match that ends at each word; matches of at least ``SEED`` words name the
-items they come from.  A stretch of ``least`` passage words with at most one edit in eight must contain an exact run of 5
-words (14 unchanged words in at most 3 runs, longer stretches more), so no case is lost there.  The matches of a
+through it word by word, tracking the longest match that ends at each word; matches of at least ``seed_words(least,
+one_in)`` words name the items they come from: every stretch within the limits holds an exact run that long (of 16 words
+with one edit in eight: 14 unchanged words in at most 3 runs, hence 5), so no case is lost there.  The matches of a
 document with an item are then chained exactly: runs joined over gaps whose word edit distance counts as edits, until some
 chain spans ``least`` words of the passage with few enough edits.
 
-Plan: documents are scanned once, without shuffle; the items travel to the tasks as text and each Python worker builds
-the automaton once.  Items beyond ``MAX_CHARS`` characters are dealt to several automata, each of bounded size, and the
-documents are scanned once per automaton.
+Plan: documents are scanned once, without shuffle; the items lie as a table in the shared folder, from which each Python
+worker builds the automaton once.  Items beyond ``MAX_CHARS`` characters are dealt to several automata, each of bounded
+size, and the documents are scanned once per automaton.  No item passes through the driver or the plan.
 """
 
 from __future__ import annotations
 
 import bisect
-import hashlib
 import html
 import re
 import unicodedata
 
 import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SEED = 5
+from kinelake.session import materialise
+
 LEAST = 16
 ONE_IN = 8
-MAX_CHARS = 16 << 20
+#: Characters of the items in one automaton: about 120 MB in a Python worker (measured: 740 bytes a word).
+MAX_CHARS = 1 << 20
 STRETCHES = "array<struct<first_word:long,last_word:long,first_char:long,end_char:long>>"
 FOUND = f"doc_id long, item_id long, n_words long, n_edits long, first_word long, last_word long, n_doc_words long, stretches {STRETCHES}"
 
@@ -107,10 +110,23 @@ def word_spans(text: str | None) -> list[tuple[int, int]]:
     return [(origin[m.start()][0], origin[m.end() - 1][1]) for m in _WORD.finditer("".join(out))]
 
 
+def seed_words(least: int = LEAST, one_in: int = ONE_IN) -> int:
+    """The exact run that every stretch of at least ``least`` words with at most one edit in ``one_in`` must hold: e edits
+    leave the unchanged words in at most e + 1 runs.  ValueError where no run of two words is sure."""
+    if least < 1 or one_in < 1:
+        raise ValueError("least and one_in must be positive")
+    # The bound grows from one multiple of one_in to the next, so the shortest stretches decide.
+    longest = min(-(-(n - n // one_in) // (n // one_in + 1)) for n in range(least, least + 2 * one_in + 1))
+    if longest < 2:
+        raise ValueError(f"{least} words with one edit in {one_in} need not hold two words in a row")
+    return longest
+
+
 class Automaton:
-    """Generalised suffix automaton over word numbers; every state of at least ``SEED`` words knows where it ends."""
+    """Generalised suffix automaton over word numbers; every state of at least ``seed`` words knows where it ends."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]):
+    def __init__(self, items: list[tuple[int, list[str]]], seed: int = 5):
+        self.seed = seed
         self.number: dict[str, int] = {}
         self.go: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
@@ -124,7 +140,7 @@ class Automaton:
             self.items.append([self.number[w] for w in tokens])
         self.ends: dict[int, list[tuple[int, int]]] = {}
         for state, k, p in ends:
-            while state > 0 and self.length[state] >= SEED:
+            while state > 0 and self.length[state] >= seed:
                 self.ends.setdefault(state, []).append((k, p))
                 state = self.link[state]
 
@@ -159,7 +175,7 @@ class Automaton:
         return copy
 
     def matches(self, tokens: list[str]):
-        """(item, position in the item, position in the text, length) of the maximal matches of at least ``SEED`` words.
+        """(item, position in the item, position in the text, length) of the maximal matches of at least ``seed`` words.
 
         A match of one item can end inside a longer one of another, so every item that ends at a word is compared with
         the next word of the text, not only where the longest match breaks."""
@@ -172,13 +188,13 @@ class Automaton:
                 state = link[state]
                 run = length[state]
             state, run = (0, 0) if step is None else (step, run + 1)
-            if run < SEED:
+            if run < self.seed:
                 continue
             after = numbers[i + 1] if i + 1 < len(numbers) else None
             # The states above on the suffix links hold the items with which only the end of the match is shared.
             seen = set()
             u, n = state, run
-            while u > 0 and length[u] >= SEED:
+            while u > 0 and length[u] >= self.seed:
                 for k, p in self.ends.get(u, ()):
                     if (k, p) not in seen:
                         seen.add((k, p))
@@ -285,14 +301,19 @@ def stretches(passage: list[str], text: list[str], least: int = LEAST, one_in: i
     return out
 
 
-_BUILT: dict[str, tuple[Automaton, list]] = {}
+_BUILT: dict = {}
 
 
-def _automaton(key: str, items: list[tuple[int, str]]):
+def _automaton(path: str, part: int, seed: int):
+    """The automaton over one part of the items' table, built once per worker."""
+    key = (path, part, seed)
     if key not in _BUILT:
         _BUILT.clear()
-        tokens = [(i, words(p)) for i, p in items]
-        _BUILT[key] = (Automaton(tokens), tokens)
+        uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path
+        system, folder = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+        rows = ds.dataset(folder, filesystem=system, format="parquet").to_table(columns=["item_id", "passage"], filter=ds.field("part") == part)
+        tokens = [(i, words(p)) for i, p in sorted(zip(rows.column("item_id").to_pylist(), rows.column("passage").to_pylist()))]
+        _BUILT[key] = (Automaton(tokens, seed), tokens)
     return _BUILT[key]
 
 
@@ -310,8 +331,8 @@ def _hits(machine: Automaton, passages: list, tokens: list[str], least: int, one
     return out
 
 
-def _scan(key: str, items, least: int, one_in: int, batches):
-    machine, passages = _automaton(key, items)
+def _scan(path: str, part: int, least: int, one_in: int, batches):
+    machine, passages = _automaton(path, part, seed_words(least, one_in))
     for batch in batches:
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -344,24 +365,25 @@ def leaked_passages(documents: DataFrame, items: DataFrame, least: int = LEAST,
     its words, edits, first and last word in the document, the document's words (for coverage), and ``stretches``: all
     that a cut takes out for the item, by words and by characters of the text (``end_char`` excluded).
 
-    Null or empty texts and passages match nothing; passages shorter than ``least`` words cannot match.  A document or
+    ``least`` and ``one_in`` must leave two words in a row in every stretch (ValueError otherwise).  Null or empty texts
+    and passages match nothing; passages shorter than ``least`` words cannot match.  A document or
     item delivered several times gives one row.  Whole texts are scanned; other columns are ignored."""
-    given = items.where("item_id is not null and passage is not null").select("item_id", "passage").distinct()
+    seed_words(least, one_in)  # refuses what cannot be searched
+    given = items.where("item_id is not null and passage is not null").select(F.col("item_id").cast("long").alias("item_id"), "passage").distinct()
     chars = given.agg(F.coalesce(F.sum(F.length("passage")), F.lit(0)).alias("n")).first()["n"]
     parts = max(1, -(-int(chars) // max_chars))
+    _, path = materialise(given.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(parts)).cast("long")).repartition(parts, "part"), "leak-items")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     out = None
     for part in range(parts):
-        held = [(int(r["item_id"]), r["passage"]) for r in given.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id", "passage").collect()]
-        key = hashlib.sha256(repr(held).encode()).hexdigest()
-        one = docs.mapInArrow(_scanner(key, held, least, one_in), FOUND)
+        one = docs.mapInArrow(_scanner(path, part, least, one_in), FOUND)
         out = one if out is None else out.unionByName(one)
     # A few rows: one per leak.
     return out.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_words", "n_edits", "first_word", "last_word", "n_doc_words", "stretches"), F.struct("n_words", -F.col("n_edits"), -F.col("first_word"))).alias("s")).select("doc_id", "item_id", "s.*")
 
 
-def _scanner(key, held, least, one_in):
-    return lambda batches: _scan(key, held, least, one_in, batches)
+def _scanner(path, part, least, one_in):
+    return lambda batches: _scan(path, part, least, one_in, batches)
 
 
 def cut_leaks(documents: DataFrame, leaks: DataFrame, max_coverage: float = 0.5) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from hypothesis import given, settings, strategies as st
@@ -66,8 +67,8 @@ def test_automaton_against_search(items, text):
     got = set()
     for k, p, t, n in machine.matches(text):
         assert items[k][p : p + n] == text[t : t + n]
-        got |= {(k, t + i) for i in range(n - d.SEED + 1)}
-    want = {(k, t) for k, item in enumerate(items) for t in range(len(text) - d.SEED + 1) for p in range(len(item) - d.SEED + 1) if item[p : p + d.SEED] == text[t : t + d.SEED]}
+        got |= {(k, t + i) for i in range(n - 5 + 1)}
+    want = {(k, t) for k, item in enumerate(items) for t in range(len(text) - 5 + 1) for p in range(len(item) - 5 + 1) if item[p : p + 5] == text[t : t + 5]}
     assert {t for _, t in got} == {t for _, t in want}
 
 
@@ -81,8 +82,8 @@ def test_cut(spark):
 @given(st.lists(st.sampled_from("abcd"), min_size=10, max_size=30), st.lists(st.tuples(st.integers(0, 20), st.integers(5, 20)), min_size=1, max_size=4))
 def test_automaton_names_every_item(text, cuts):
     items = [text[a : a + n] + ["e"] for a, n in cuts]
-    got = {(k, p + i, t + i) for k, p, t, n in d.Automaton(list(enumerate(items))).matches(text) for i in range(n - d.SEED + 1)}
-    want = {(k, p, t) for k, item in enumerate(items) for t in range(len(text) - d.SEED + 1) for p in range(len(item) - d.SEED + 1) if item[p : p + d.SEED] == text[t : t + d.SEED]}
+    got = {(k, p + i, t + i) for k, p, t, n in d.Automaton(list(enumerate(items))).matches(text) for i in range(n - 5 + 1)}
+    want = {(k, p, t) for k, item in enumerate(items) for t in range(len(text) - 5 + 1) for p in range(len(item) - 5 + 1) if item[p : p + 5] == text[t : t + 5]}
     assert got == want
 
 
@@ -116,3 +117,33 @@ def test_cut_takes_every_copy_out(spark):
     assert got[1]["cut_text"] == filler + ". &amp; " + filler + ". <b>end</b>"
     assert d.words(got[2]["cut_text"]) == d.words(filler + " é " + filler)
     assert found(spark, [got[i]["cut_text"] for i in range(3)]) == set()
+
+
+@pytest.mark.parametrize("least,one_in,seed", [(16, 8, 5), (8, 4, 2), (12, 6, 4), (20, 10, 6), (16, 100, 16), (6, 3, 2)])
+def test_seed_follows_from_the_parameters(spark, least, one_in, seed):
+    """The automaton's matches lose no case that the exact search finds, for any parameters; too loose ones are refused."""
+    assert d.seed_words(least, one_in) == seed
+    rng = random.Random(least * one_in)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items, docs, want = [], [], set()
+    for i in range(25):
+        passage = rng.sample(vocabulary, least + rng.randrange(12))
+        items.append((i, " ".join(passage)))
+        for k in range(4):
+            n = rng.randint(least - 1, len(passage))
+            at = rng.randrange(len(passage) - n + 1)
+            part = passage[at : at + n]
+            for e in range(rng.randint(0, n // one_in + 1)):
+                part[rng.randrange(len(part))] = "changed" + str(e)
+            text = rng.sample(vocabulary, 30) + part + rng.sample(vocabulary, 30)
+            docs.append((len(docs), " ".join(text)))
+            want |= {(len(docs) - 1, j) for j, p in items if d.best_stretch(p.split(), text, least, one_in)}
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in d.leaked_passages(rows, spark.createDataFrame(items, "item_id long, passage string"), least, one_in).collect()}
+    assert want <= got and {(k, i) for k, i in got if i * 4 <= k} == want
+
+
+def test_loose_parameters_are_refused():
+    for least, one_in in ((4, 2), (16, 1), (0, 8)):
+        with pytest.raises(ValueError):
+            d.seed_words(least, one_in)
