@@ -14,8 +14,11 @@ per target, whose table is fixed.
 from __future__ import annotations
 
 import base64
+import heapq
+from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,6 +27,7 @@ from kinelake.session import materialise
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pre-tokenisation pattern of this vocabulary; a fixed value.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_PATTERN = regex.compile(PATTERN)
 GROUP = 10_000
 FAN_IN = 64
 PIECE = 20_000
@@ -43,22 +47,65 @@ def encoding(path: str):
     return _ENCODINGS[path]
 
 
-def pieces(text: str) -> list[str]:
-    """The text in parts of at most about ``PIECE`` characters, cut before white space where there is some; a longer run
-    without white space is cut hard, which can add a token per cut."""
-    out = []
-    while len(text) > PIECE:
-        cut = next((i for i in range(PIECE, PIECE // 2, -1) if text[i].isspace() and not text[i - 1].isspace()), PIECE)
-        out.append(text[:cut])
-        text = text[cut:]
-    return [*out, text]
+def pieces(text: str) -> Iterator[str]:
+    """The text in parts of about ``PIECE`` characters that are tokenized as in the whole: cut between two of the pattern's
+    tokens of which the first is no white space (white space looks at what follows)."""
+    begin = last = 0
+    for m in _PATTERN.finditer(text):
+        if m.end() - begin > PIECE and last > begin:
+            yield text[begin:last]
+            begin = last
+        if not m.group()[-1].isspace():
+            last = m.end()
+    yield text[begin:]
+
+
+def merged(data: bytes, ranks: dict[bytes, int]) -> int:
+    """How many tokens byte pair encoding leaves of one long word: always the pair of least rank, the leftmost first.  A
+    heap keeps this at n log n."""
+    n = len(data)
+    if n < 2 or data in ranks:
+        return min(n, 1)
+    end = list(range(1, n + 1))  # the part that begins at i ends at end[i]
+    before = list(range(-1, n - 1))
+    alive = [True] * n
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(data[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    left = n
+    while heap:
+        _, i, upto = heapq.heappop(heap)
+        j = end[i] if alive[i] else n
+        if j >= n or end[j] != upto:
+            continue  # one of the two has been merged since
+        end[i], alive[j] = upto, False
+        left -= 1
+        if upto < n:
+            before[upto] = i
+            if (r := ranks.get(data[i : end[upto]])) is not None:
+                heapq.heappush(heap, (r, i, end[upto]))
+        if (h := before[i]) >= 0 and (r := ranks.get(data[h:upto])) is not None:
+            heapq.heappush(heap, (r, h, upto))
+    return left
+
+
+def count_tokens(tokenizer, text: str) -> int:
+    """The number of tokens of the whole text."""
+    if len(text) <= PIECE:
+        return len(tokenizer.encode_ordinary(text))
+    n = 0
+    for p in pieces(text):
+        if len(p) <= 2 * PIECE:
+            n += len(tokenizer.encode_ordinary(p))
+        else:  # holds a word of more than PIECE characters
+            n += sum(merged(w.group().encode(), tokenizer._mergeable_ranks) if len(w.group()) > 1_000 else len(tokenizer.encode_ordinary(w.group())) for w in _PATTERN.finditer(p))
+    return n
 
 
 def _count(path: str, batches):
     tokenizer = encoding(path)
     for batch in batches:
         texts = batch.column(2).to_pylist()
-        counts = [sum(len(tokenizer.encode_ordinary(p)) for p in pieces(t)) if t else 0 for t in texts]
+        counts = [count_tokens(tokenizer, t) if t else 0 for t in texts]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], names=["doc_id", "source", "n_tokens"])
 
 

@@ -70,3 +70,19 @@ def test_tokens_of_pieces():
 def test_allocate(have, total, want):
     got = m.allocate([("a", 0.5, 1), ("b", 0.5, 1)], have, total)
     assert all(abs(got[k] - v) < 1e-6 for k, v in want.items())
+
+
+def test_long_texts_count_as_whole(monkeypatch):
+    """Cut texts, and words far longer than a piece, give the tokens of the whole text."""
+    import random
+
+    tokenizer, rng = m.encoding(m.TOKENIZER), random.Random(3)
+    alphabet = "abcdeéñ字 \n\t.,'!?019Z"
+    texts = ["".join(rng.choice(alphabet) for _ in range(3000)) for _ in range(20)] + ["".join(rng.choice("abcde") for _ in range(2500)), "a" * 1500, "it's " * 400 + " " * 700 + "x" * 900 + "  \n  y"]
+    for piece in (50, 300):
+        monkeypatch.setattr(m, "PIECE", piece)
+        for t in texts:
+            assert "".join(m.pieces(t)) == t
+            assert m.count_tokens(tokenizer, t) == len(tokenizer.encode_ordinary(t))
+    for t in texts[-3:-1]:
+        assert m.merged(t.encode(), tokenizer._mergeable_ranks) == len(tokenizer.encode_ordinary(t))
