@@ -7,6 +7,7 @@ for the per-episode residuals, array expressions and one aggregation for the res
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,13 +18,25 @@ from kinelake.functions import geometry
 from kinelake.functions.deliveries import once
 from kinelake.functions.dense import longs, matrix, starts_of, whole_groups
 from kinelake.functions.timeseries import odd_window
+from kinelake.operators import statistics
+from kinelake.session import materialise
 
 WIDTH = 20
 
 
+#: Where a configuration file has each setting: path in the file -> field.
+SETTINGS = {
+    "action_key": "action_key", "state_key": "state_key", "confidence_key": "confidence_key", "action_frame": "action_frame", "confidence_min": "confidence_min", "max_bad_frame_ratio": "max_bad_frame_ratio",
+    "stage1.enabled": "stage1", "stage1.smooth_window": "smooth_window", "stage1.median_window": "median_window", "stage1.residual_mean_multiplier": "multiplier", "stage1.min_threshold": "min_threshold",
+    "stage2.enabled": "stage2", "stage2.max_lag": "max_lag", "stage2.min_directional_agreement": "min_agreement", "stage2.state_dims": "state_dims", "stage2.action_dims": "action_dims",
+    "stage3.enabled": "stage3", "stage3.lower_percentile": "lower", "stage3.upper_percentile": "upper", "stage3.alpha": "alpha", "stage3.exempt_dims": "exempt",
+    "stage5.enabled": "stage5", "stage5.require_fixed_action_frame": "check_frame",
+}
+
+
 @dataclass(frozen=True)
 class FilterConfig:
-    """Parameters with the filter's defaults."""
+    """Parameters with the filter's defaults; :meth:`from_dict` reads a configuration file's."""
 
     smooth_window: int = 11
     median_window: int = 5
@@ -40,8 +53,35 @@ class FilterConfig:
     stage2: bool = False
     max_lag: int = 10
     min_agreement: float = 0.6
+    state_dims: tuple[int, ...] | None = None
+    action_dims: tuple[int, ...] | None = None
+    stage5: bool = True
     check_frame: bool = True
     action_frame: str = "first_camera"
+    action_key: str = "action"
+    state_key: str | None = None
+    confidence_key: str | None = "observation.confidence"
+
+    @classmethod
+    def from_dict(cls, given: dict, **overrides) -> "FilterConfig":
+        """The settings of a configuration file (nested as in ``SETTINGS``, percentiles from 0 to 100); overrides (by field
+        name) that are not None win.  ValueError for a setting that is not known."""
+        flat = {}
+        for k, v in (given or {}).items():
+            flat |= {f"{k}.{n}": x for n, x in v.items()} if isinstance(v, dict) else {k: v}
+        unknown = [k for k in flat if k not in SETTINGS] + [k for k in overrides if k not in SETTINGS.values()]
+        if unknown:
+            raise ValueError("unknown settings: " + ", ".join(sorted(unknown)))
+        values = {SETTINGS[k]: tuple(v) if isinstance(v, list) else v for k, v in flat.items()}
+        for k in ("lower", "upper"):
+            if k in values:
+                values[k] = values[k] / 100
+        return cls(**values | {k: v for k, v in overrides.items() if v is not None})
+
+    @classmethod
+    def from_json(cls, path: str, **overrides) -> "FilterConfig":
+        with open(path) as f:
+            return cls.from_dict(json.load(f), **overrides)
 
 
 def _windowed(x: np.ndarray, window: int, reduce) -> np.ndarray:
@@ -75,25 +115,30 @@ def _residuals(config: FilterConfig, batches):
         yield from out.combine_chunks().to_batches()
 
 
-def filter_frames(frames: DataFrame) -> DataFrame:
-    """(episode, frame_index, t, action, confidence): frames once each, a null action taken from the state."""
+def filter_frames(frames: DataFrame, config: FilterConfig = FilterConfig()) -> DataFrame:
+    """(episode, frame_index, t, action, confidence): frames once each, a null action taken from the state.  The columns are
+    those that the configuration names; without confidence column there is none."""
     from pyspark.sql import Window
 
-    rows = frames.where("episode_index is not null and frame_index is not null").select(F.col("episode_index").alias("episode"), "frame_index", F.coalesce("action", "`observation.state`").cast("array<double>").alias("action"), F.col("`observation.confidence`").cast("array<double>").alias("confidence"))
+    action, state = F.col(f"`{config.action_key}`"), config.state_key or "observation.state"
+    action = F.coalesce(action, F.col(f"`{state}`")) if state in frames.columns else action
+    known = config.confidence_key and config.confidence_key in frames.columns
+    confidence = F.col(f"`{config.confidence_key}`") if known else F.lit(None)
+    rows = frames.where("episode_index is not null and frame_index is not null").select(F.col("episode_index").alias("episode"), "frame_index", action.cast("array<double>").alias("action"), confidence.cast("array<double>").alias("confidence"))
     rows = once(rows.where("action is not null"), ["episode"], ["frame_index"])
     return rows.withColumn("t", (F.row_number().over(Window.partitionBy("episode").orderBy("frame_index")) - 1).cast("long"))
 
 
 def extreme_bounds(rows: DataFrame, config: FilterConfig = FilterConfig()) -> DataFrame:
     """(channel, lower, upper): exact percentiles over all frames, widened; one row per channel."""
-    long = rows.select(F.posexplode("action").alias("channel", "v")).where("v is not null and not isnan(v)")
-    q = long.groupBy("channel").agg(F.percentile("v", F.lit(config.lower)).alias("a"), F.percentile("v", F.lit(config.upper)).alias("b"))
-    return q.select("channel", (F.col("a") - config.alpha * (F.col("b") - F.col("a"))).alias("lower"), (F.col("b") + config.alpha * (F.col("b") - F.col("a"))).alias("upper"))
+    actions, _ = materialise(rows.select("action"), "filter-actions")  # read once per round
+    long = actions.select(F.posexplode("action").alias("channel", "v"))
+    return statistics.percentile_bounds(long, "channel", "v", config.lower, config.upper, config.alpha).select("channel", "lower", "upper")
 
 
 def judged_frames(frames: DataFrame, config: FilterConfig = FilterConfig()) -> DataFrame:
     """One row per frame with ``stage1``, ``stage3``, ``low_confidence``, ``bad`` and ``hand_confidence`` (null without confidence)."""
-    rows = filter_frames(frames)
+    rows = filter_frames(frames, config)
     inf = float("inf")
     limits = {r["channel"]: r for r in extreme_bounds(rows, config).collect()} if config.stage3 else {}  # one row per channel
     pick = lambda name, free: F.array(*[F.lit(float(free if c in config.exempt or c not in limits else limits[c][name])) for c in range(WIDTH)])
@@ -122,7 +167,7 @@ def episode_decisions(judged: DataFrame, config: FilterConfig = FilterConfig(),
         d = d.join(agreement.select("episode", "score"), "episode", "left")
         aligned = F.coalesce(F.col("score") >= config.min_agreement, F.lit(True))
     limit = config.max_bad_frame_ratio
-    framed = not config.check_frame or reference_frame_ok(config.action_frame)
+    framed = not (config.stage5 and config.check_frame) or reference_frame_ok(config.action_frame)
 
     def reason(test: Column, name: str) -> Column:
         return F.when(test, name)

@@ -8,7 +8,7 @@ number of thresholds (28 channels x 5), which enter the plan as literals.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import dataclass, fields, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +39,53 @@ JOINT = Layout("joint_gripper", (), (), tuple(range(12)), (12, 13))
 LAYOUTS = {"egodex": POSE, "humanoid": JOINT}
 
 
+#: Where a configuration file has each setting: path in the file -> field.
+SETTINGS = {
+    "pipeline.min_episode_length": "min_episode_length", "pipeline.action_zero_epsilon": "zero_epsilon", "pipeline.stage1_post_zero_grace_frames": "grace_frames",
+    "pipeline.discard_short_prefix": "discard_short", "pipeline.output_mode": "output_mode", "preprocess.action_from_state": "action_from_state", "dataset.fps": "fps", "dataset.total_episodes": "total_episodes",
+    "stage1.smoothing.median_kernel": "median_kernel", "stage1.smoothing.savgol_window": "savgol_window", "stage1.smoothing.savgol_polyorder": "savgol_order",
+    "stage1.thresholds.k_residual": "k_residual", "stage1.thresholds.k_accel": "k_accel", "stage1.thresholds.k_jerk": "k_jerk", "stage1.thresholds.percentile_floor": "percentile_floor",
+    "stage1.hard_limits.joint_abs_max": "joint_abs_max", "stage1.hard_limits.ee_position_max": "position_max", "stage1.hard_limits.rpy_abs_max": "rpy_max", "stage1.hard_limits.gripper_max": "gripper_max",
+    "stage1.exclusion.frame_removal.min_cluster_length_for_abnormal": "abnormal_cluster", "stage1.exclusion.episode_discard.min_cluster_length": "episode_cluster", "stage1.exclusion.episode_discard.min_cluster_frame_jump": "cluster_jump",
+    "stage1.exclusion.episode_discard.on_hard_limit_violation": "discard_on_hard_limit", "stage1.stats.recompute": "stage1_stats_recompute", "stage1.stats.cache_path": "stage1_stats_cache",
+    "stage2.action_type": "action_type", "stage2.smoothing.median_kernel": "stage2_median_kernel", "stage2.smoothing.savgol_window": "stage2_savgol_window", "stage2.smoothing.savgol_polyorder": "stage2_savgol_order",
+    "stage2.alignment.max_lag_frames": "max_lag", "stage2.alignment.diff_epsilon": "diff_epsilon", "stage2.alignment.min_active_samples": "min_active", "stage2.thresholds.da_per_dim": "da_dim", "stage2.thresholds.da_episode_mean": "da_mean",
+    "stage3.alpha": "alpha", "stage3.hard_limits.joint": "joint_range", "stage3.hard_limits.ee_xyz": "xyz_range", "stage3.hard_limits.rpy": "rpy_range", "stage3.hard_limits.gripper": "gripper_range",
+    "stage3.exclusion.min_episode_length": "stage3_min_length", "stage3.stats.recompute": "stats_recompute", "stage3.stats.cache_path": "stats_cache", "stage3.stats.num_histogram_bins": "bins",
+    "stage4.enabled": "stage4", "stage4.max_static_steps": "static_steps", "stage4.change_epsilon": "static_epsilon",
+    "stage5.enabled": "stage5", "stage5.reference_frame": "reference_frame", "stage5.rotation_correction_euler_xyz": "correction", "stage5.egodex_extrinsics_column": "extrinsics_column",
+    "stage5.humanoid_calibration_relpath": "calibration_path", "stage5.humanoid_camera_extrinsic_key": "extrinsic_key",
+}
+#: Settings of the file that need no field here: what Spark decides itself, what names the dataset, and what no rule reads.
+WITHOUT_EFFECT = (
+    "schema.canonical_dim", "schema.state_column", "schema.action_column", "schema.raw_columns", "dataset.root", "dataset.embodiment", "dataset.robot_type", "pipeline.num_workers",
+    "stage1.exclusion.mode", "stage1.exclusion.frame_removal.max_cluster_length", "stage2.exclusion.mode", "stage2.shared_dims", "stage3.exclusion.mode", "stage3.exclusion.validity_mask", "stage3.quaternion",
+)
+_EXEMPT = "stage3.exempt_dims"
+
+
+def settings_of(given: dict, prefix: str = "") -> dict:
+    """Nested settings as path -> value; lists become tuples."""
+    out = {}
+    for k, v in given.items():
+        if isinstance(v, dict) and v:
+            out |= settings_of(v, f"{prefix}{k}.")
+        elif not isinstance(v, dict):
+            out[f"{prefix}{k}"] = tuple(v) if isinstance(v, list) else v
+    return out
+
+
 @dataclass(frozen=True)
 class QualityConfig:
-    """Parameters with the pipeline's defaults; :meth:`from_yaml` reads a shipped-style configuration."""
+    """Parameters with the pipeline's defaults; :meth:`from_yaml` reads a configuration file."""
 
     layout: Layout = POSE
     median_kernel: int = 5
     savgol_window: int = 11
     savgol_order: int = 3
-    k: float = 8.0
+    k_residual: float = 8.0
+    k_accel: float = 8.0
+    k_jerk: float = 8.0
     percentile_floor: float = 99.9
     joint_abs_max: float = 3.5
     position_max: float = 2.0
@@ -56,42 +94,74 @@ class QualityConfig:
     abnormal_cluster: int = 1
     episode_cluster: int = 20
     cluster_jump: float = 0.08
+    discard_on_hard_limit: bool = True
+    stage2_median_kernel: int = 5
+    stage2_savgol_window: int = 11
+    stage2_savgol_order: int = 3
     max_lag: int = 5
     diff_epsilon: float = 1e-4
     min_active: int = 10
     da_dim: float = 0.65
     da_mean: float = 0.65
-    delta_actions: bool = False
+    action_type: str = "absolute"
     alpha: float = 0.15
     joint_range: tuple[float, float] = (-3.5, 3.5)
     xyz_range: tuple[float, float] = (-2.0, 2.0)
     rpy_range: tuple[float, float] = (-3.15, 3.15)
     gripper_range: tuple[float, float] = (-0.01, 1.0)
-    exempt: tuple[int, ...] = (6, 13)
+    exempt_state: tuple[int, ...] = (6, 13)
+    exempt_action: tuple[int, ...] = (6, 13)
+    stage4: bool = True
     static_steps: int = 5
     static_epsilon: float = 0.0
+    stage5: bool = False
+    reference_frame: str = "camera_top_frame0"
+    correction: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    extrinsics_column: str = "observation.camera_extrinsics_world"
+    calibration_path: str = "parameters/chunk-{chunk:03d}/episode_{episode:06d}/calibration_bundle_optimized.json"
+    extrinsic_key: str = "camera_front_to_arm_left"
     min_episode_length: int = 30
+    stage3_min_length: int = 30
     zero_epsilon: float = 1e-4
     grace_frames: int = 0
     discard_short: bool = False
     action_from_state: bool = False
+    output_mode: str = "report"
+    fps: int = 30
+    total_episodes: int | None = None
+    stats_recompute: bool = True
+    stats_cache: str = "cache/global_stats"
+    stage1_stats_recompute: bool = True
+    stage1_stats_cache: str = "cache/stage1_global_stats"
     bins: int = statistics.BINS
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_dict(cls, given: dict, **overrides) -> "QualityConfig":
-        """Nested or flat settings; unknown names are kept in ``extra``; overrides that are not None win."""
-        flat: dict = {}
-
-        def walk(d):
-            for k, v in d.items():
-                walk(v) if isinstance(v, dict) else flat.__setitem__(k, tuple(v) if isinstance(v, list) else v)
-
-        walk(given or {})
-        flat |= {k: v for k, v in overrides.items() if v is not None}
-        known = {f.name for f in fields(cls)} - {"extra", "layout"}
-        layout = LAYOUTS.get(flat.get("embodiment", ""), POSE)
-        return replace(cls(layout=layout, extra={k: v for k, v in flat.items() if k not in known}), **{k: v for k, v in flat.items() if k in known})
+        """The settings of a configuration file (nested as in ``SETTINGS``); overrides (by field name) that are not None win.
+        ValueError for a setting that is not known, so that none is ignored.
+
+        A file that names no dimensions as exempt from stage 3's percentile band exempts grippers and angles."""
+        flat = settings_of(given or {})
+        embodiment = flat.pop("schema.embodiment", flat.get("dataset.embodiment"))
+        kind = flat.pop("schema.layout", None)
+        by_layout = {y.name: y for y in (POSE, JOINT)}
+        if kind is not None and kind not in by_layout or kind is None and embodiment is not None and embodiment not in LAYOUTS:
+            raise ValueError(f"unknown layout {kind or embodiment!r}")
+        layout = by_layout[kind] if kind else LAYOUTS.get(embodiment, POSE)
+        values: dict = {"layout": layout}
+        for side in ("state", "action"):
+            named = [flat.pop(f"{_EXEMPT}.{part}_{side}", default) for part, default in (("gripper", layout.grippers), ("rpy", layout.rpy))]
+            values[f"exempt_{side}"] = tuple(sorted({*named[0], *named[1]}))
+        unknown = [k for k in flat if k not in SETTINGS and not any(k == x or k.startswith(x + ".") for x in WITHOUT_EFFECT)]
+        names = {f.name for f in fields(cls)}
+        unknown += [k for k in overrides if k not in names]
+        if unknown:
+            raise ValueError("unknown settings: " + ", ".join(sorted(unknown)))
+        values |= {SETTINGS[k]: v for k, v in flat.items() if k in SETTINGS}
+        out = replace(cls(), **values | {k: v for k, v in overrides.items() if v is not None})
+        if out.action_type not in ("absolute", "delta") or out.output_mode not in ("report", "filter", "both"):
+            raise ValueError(f"unknown action type {out.action_type!r} or output mode {out.output_mode!r}")
+        return out
 
     @classmethod
     def from_yaml(cls, path: str, **overrides) -> "QualityConfig":
@@ -175,14 +245,16 @@ def _features(config: QualityConfig, batches):
         smooth = smoothed(x, first, last, config.median_kernel, config.savgol_window, config.savgol_order)
         accel = gradient(gradient(x, first, last), first, last)
         jerk = gradient(accel, first, last)
-        aligned = smooth[:, DIMS:]
-        if config.delta_actions:
+        second = (config.stage2_median_kernel, config.stage2_savgol_window, config.stage2_savgol_order)
+        smooth2 = smooth if second == (config.median_kernel, config.savgol_window, config.savgol_order) else smoothed(x, first, last, *second)
+        aligned = smooth2[:, DIMS:]
+        if config.action_type == "delta":
             total = np.concatenate([np.cumsum(action[a : a + m], axis=0) + action[a] for a, m in zip(starts, length)])
-            aligned = smoothed(total, first, last, config.median_kernel, config.savgol_window, config.savgol_order)
+            aligned = smoothed(total, first, last, *second)
         da, lags = np.zeros((len(starts), DIMS)), np.zeros((len(starts), DIMS), np.int64)
         for i, (a, m) in enumerate(zip(starts, length)):
             for d in range(DIMS):
-                da[i, d], lags[i, d] = alignment_scores(smooth[a : a + m, d], aligned[a : a + m, d], config.max_lag, config.diff_epsilon, config.min_active)
+                da[i, d], lags[i, d] = alignment_scores(smooth2[a : a + m, d], aligned[a : a + m, d], config.max_lag, config.diff_epsilon, config.min_active)
         owner = np.repeat(np.arange(len(starts)), length)
         lists = lambda v, t=pa.float64(): pa.FixedSizeListArray.from_arrays(pa.array(v.ravel(), t), v.shape[1]).cast(pa.list_(t))
         out = pa.table(
@@ -207,22 +279,25 @@ def _long(rows: DataFrame, name: str, value: Column) -> DataFrame:
 def global_stats(episodes: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
     """(channel, q01, q99, lo, hi, n) of the 28 channels, from two-pass histograms."""
     long = _long(episodes, "x", F.concat("state", "action"))
-    ranges = statistics.value_ranges(long, ["channel"], "v")
+    ranges = statistics.value_ranges(long, ["channel"], "v").collect()  # 28 rows
     q = statistics.histogram_quantiles(statistics.histogram(long, ranges, ["channel"], "v", config.bins), ["channel"], {"q01": 0.01, "q99": 0.99}, config.bins)
-    return ranges.join(q, "channel", "left")
+    known = episodes.sparkSession.createDataFrame([tuple(r) for r in ranges], "channel int, lo double, hi double, n long")
+    return known.join(q, "channel", "left")
 
 
 def stage1_thresholds(features: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
     """(channel, metric, threshold) from the features of all episodes that are as long as the smoothing window.  The
     percentile of accel and jerk is at most 99.95."""
     rows = features.where(F.col("n") >= config.savgol_window)
+    metrics = ("residual", "accel", "jerk")
+    every = _long(rows, metrics[0], F.col(metrics[0])).unionByName(_long(rows, metrics[1], F.col(metrics[1]))).unionByName(_long(rows, metrics[2], F.col(metrics[2])))
+    ranges = statistics.value_ranges(every, ["channel", "metric"], "v").collect()  # 28 x 3 rows
     out = None
-    for metric in ("residual", "accel", "jerk"):
+    for metric in metrics:
         long = _long(rows, metric, F.col(metric))
-        ranges = statistics.value_ranges(long, ["channel", "metric"], "v")
         counts = statistics.histogram(long, ranges, ["channel", "metric"], "v", config.bins, flat=1e-12)
         p = config.percentile_floor if metric == "residual" else min(config.percentile_floor, 99.95)
-        one = statistics.hybrid_thresholds(counts, ["channel", "metric"], config.k, p, config.bins).select("channel", "metric", "threshold")
+        one = statistics.hybrid_thresholds(counts, ["channel", "metric"], getattr(config, f"k_{metric}"), p, config.bins).select("channel", "metric", "threshold")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -335,7 +410,7 @@ def stage3(rows: DataFrame, stats: list, config: QualityConfig = QualityConfig()
     lo, hi = [], []
     for c in range(2 * DIMS):
         a, b = q01.get(c), q99.get(c)
-        free = c % DIMS in config.exempt or a is None
+        free = c % DIMS in (config.exempt_state if c < DIMS else config.exempt_action) or a is None
         lo.append(F.lit(-inf if free else a - config.alpha * (b - a)))
         hi.append(F.lit(inf if free else b + config.alpha * (b - a)))
     both = F.concat("state", "action")
@@ -365,7 +440,7 @@ def stage4(rows: DataFrame, config: QualityConfig = QualityConfig(), within: str
         still = still & F.col(within)
     rows = rows.withColumn("_still", still).withColumn("_run", F.sum((~F.col("_still")).cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     i = F.row_number().over(Window.partitionBy("episode", "_run").orderBy("t"))
-    remove = i > config.static_steps if config.static_steps >= 1 else F.lit(False)
+    remove = i > config.static_steps if config.stage4 and config.static_steps >= 1 else F.lit(False)
     if within:
         remove = remove & F.col(within)
     return rows.withColumn("s4_remove", remove).drop("_still", "_run")
@@ -408,7 +483,7 @@ def episode_results(masks: DataFrame, config: QualityConfig = QualityConfig()) -
         F.array(
             F.when(F.col("s2_discard") & (F.col("stage2_da_mean") < config.da_mean), F.format_string(f"stage2:da_episode_mean=%.4f<{config.da_mean}", F.col("stage2_da_mean"))),
             F.when(F.size("da_low") > 0, F.concat(F.lit("stage2:da_low_dims=["), F.array_join(F.col("da_low").cast("array<string>"), ", "), F.lit("]"))),
-            F.when(~F.col("s2_discard") & (left < config.min_episode_length), F.concat(F.lit("stage3:remaining_frames="), left.cast("string"), F.lit(f"<{config.min_episode_length}"))),
+            F.when(~F.col("s2_discard") & (left < config.stage3_min_length), F.concat(F.lit("stage3:remaining_frames="), left.cast("string"), F.lit(f"<{config.stage3_min_length}"))),
             F.when(F.lit(config.discard_short) & short, F.concat(F.lit("kept_frames="), F.col("kept_frames").cast("string"), F.lit(f"<{config.min_episode_length}"))),
             F.when(F.col("first_abnormal_frame") >= 0, F.concat(F.lit("first_removed_frame="), F.col("first_abnormal_frame").cast("string"))),
         )
@@ -426,8 +501,8 @@ def quality_report(results: DataFrame) -> DataFrame:
     return r.withColumn("discard_rate", F.when(F.col("episodes") > 0, F.col("discarded") / F.col("episodes")).otherwise(0.0)).withColumn("frame_keep_rate", F.when(F.col("frames") > 0, F.col("kept_frames") / F.col("frames")).otherwise(0.0))
 
 
-def reason_counts(results: DataFrame, only_discarded: bool = False) -> DataFrame:
-    """(reason, n): reasons up to '=', counted over episodes."""
+def reason_counts(results: DataFrame, only_discarded: bool = True) -> DataFrame:
+    """(reason, n): reasons up to '=', counted over the discarded episodes, as in the report, or over all."""
     rows = results.where("discard") if only_discarded else results
     return rows.select(F.explode("discard_reasons").alias("r")).select(F.split("r", "=")[0].alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 

@@ -157,7 +157,17 @@ def quality_report(spark, root):
 
 
 def discard_reason_counts(spark, root):
-    return quality.reason_counts(_results(spark, root))
+    """Reasons over all episodes: with the defaults none is discarded."""
+    return quality.reason_counts(_results(spark, root), only_discarded=False)
+
+
+#: Discards episodes whose kept prefix is short.
+STRICT = quality.QualityConfig(discard_short=True, min_episode_length=60)
+
+
+def discarded_reason_counts(spark, root):
+    """The report's reasons: only over the episodes that are discarded (kept prefix under 60 frames)."""
+    return quality.reason_counts(quality.episode_results(quality.keep_masks(_frames(spark, root), STRICT), STRICT))
 
 
 # Episode filter -------------------------------------------------------------------------
@@ -239,7 +249,7 @@ def pooled_frame_agreement_full(spark, root):
     return _pooled_agreement(spark, root, FILTER.max_lag)
 
 
-QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, episode_decision, filter_flagged, filter_flagged_cap, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement, pooled_frame_agreement_full)}
+QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, discarded_reason_counts, episode_decision, filter_flagged, filter_flagged_cap, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement, pooled_frame_agreement_full)}
 
 # SQL -------------------------------------------------------------------------------------------
 
@@ -346,7 +356,15 @@ _QUAL = f"""{_GSTAT}, md AS (SELECT *, {_MED} AS m, count(*) OVER (PARTITION BY
         er AS (SELECT episode, count(*) AS num_frames, CAST(sum(CASE WHEN pre AND NOT s4 THEN 1 ELSE 0 END) AS BIGINT) AS kept_frames, coalesce(min(CASE WHEN NOT (pre AND NOT s4) THEN t END), -1) AS first_abnormal_frame,
                  max(hx + hr + hs + ha) > 0 AS stage1_hard_limit, CAST(sum(flagged) AS BIGINT) AS stage1_flagged, any_value(da_mean) AS stage2_da_mean, CAST(sum(CASE WHEN s3 THEN 1 ELSE 0 END) AS BIGINT) AS stage3_excluded_frames,
                  CAST(sum(CASE WHEN s4 THEN 1 ELSE 0 END) AS BIGINT) AS stage4_removed_frames, max(hx) AS hx, max(hr) AS hr, max(hs) AS hs, max(ha) AS ha, bool_or(low_mean) AS low_mean, bool_or(low_dim) AS low_dim FROM kp GROUP BY episode),
-        ez AS (SELECT *, NOT (low_mean OR low_dim) AND num_frames - stage3_excluded_frames < 30 AS s3_short FROM er)"""
+        cr AS (SELECT episode, ch, t, x, t - row_number() OVER (PARTITION BY episode, ch ORDER BY t) AS run FROM fl WHERE s1),
+        cj AS (SELECT *, abs(x - lag(x) OVER (PARTITION BY episode, ch, run ORDER BY t)) AS jump FROM cr),
+        cl AS (SELECT episode, ch, run, count(*) AS len FROM cj GROUP BY ALL HAVING count(*) >= 20 AND max(jump) >= 0.08),
+        c1 AS (SELECT episode, ch, 'sudden_change_cluster_dim' || ch || '_len' || arg_min(len, run) AS reason FROM cl GROUP BY episode, ch),
+        ce AS (SELECT episode, count(*) AS clusters FROM c1 GROUP BY episode),
+        ez AS (SELECT er.*, coalesce(clusters, 0) AS clusters, NOT (low_mean OR low_dim) AND num_frames - stage3_excluded_frames < 30 AS s3_short FROM er LEFT JOIN ce USING (episode)),
+        rs AS (SELECT episode, kept_frames, unnest([CASE WHEN hx > 0 THEN 'hard_limit_state_xyz' END, CASE WHEN hr > 0 THEN 'hard_limit_state_rpy' END, CASE WHEN hs > 0 THEN 'hard_limit_state_gripper' END, CASE WHEN ha > 0 THEN 'hard_limit_action_gripper' END,
+                 CASE WHEN low_mean THEN 'stage2:da_episode_mean' END, CASE WHEN low_dim THEN 'stage2:da_low_dims' END, CASE WHEN s3_short THEN 'stage3:remaining_frames' END, CASE WHEN first_abnormal_frame >= 0 THEN 'first_removed_frame' END]) AS reason FROM ez
+               UNION ALL SELECT episode, kept_frames, reason FROM c1 JOIN ez USING (episode))"""
 
 _MEDC = "CASE WHEN n <= 2 THEN x WHEN n >= 5 THEN list_sort([" + ", ".join(sql_at("x", k) for k in range(-2, 3)) + "])[3] ELSE list_sort([" + ", ".join(sql_at("x", k) for k in range(-1, 2)) + "])[2] END"
 
@@ -384,9 +402,10 @@ ORACLES = {
     "hard_limits": f"WITH {CANON}, pf AS (SELECT episode, t, {_S1HARD} FROM ca GROUP BY ALL) SELECT CAST(0 AS BIGINT) AS hard_state_joint, CAST(0 AS BIGINT) AS hard_action_joint, CAST(sum(hx) AS BIGINT) AS hard_state_xyz, CAST(sum(hr) AS BIGINT) AS hard_state_rpy, CAST(sum(hs) AS BIGINT) AS hard_state_gripper, CAST(sum(ha) AS BIGINT) AS hard_action_gripper FROM pf",
     "global_frame_stats": f"WITH {_GSTAT} SELECT CAST(ch AS BIGINT) AS channel, round(q01, 3) AS q01, round(q99, 3) AS q99, CAST(n AS BIGINT) AS n FROM gq",
     "static_removed": f"WITH {_FR}, st AS (SELECT *, coalesce(s = lag(s) OVER e AND a = lag(a) OVER e, false) AS still FROM fr WINDOW e AS (PARTITION BY episode ORDER BY t)), rn AS (SELECT *, sum(CASE WHEN still THEN 0 ELSE 1 END) OVER (PARTITION BY episode ORDER BY t) AS run FROM st), rm AS (SELECT *, row_number() OVER (PARTITION BY episode, run ORDER BY t) > 5 AS rm FROM rn) SELECT * FROM (SELECT episode, count(*) AS n_frames, CAST(sum(CASE WHEN rm THEN 1 ELSE 0 END) AS BIGINT) AS n_removed FROM rm GROUP BY episode) WHERE n_removed > 0",
-    "quality_results": f"WITH {_QUAL} SELECT episode, num_frames, kept_frames, first_abnormal_frame, stage1_hard_limit, stage1_flagged, round(stage2_da_mean, 5) AS stage2_da_mean, stage3_excluded_frames, stage4_removed_frames, CAST(hx + hr + hs + ha + CASE WHEN low_mean THEN 1 ELSE 0 END + CASE WHEN low_dim THEN 1 ELSE 0 END + CASE WHEN s3_short THEN 1 ELSE 0 END + CASE WHEN first_abnormal_frame >= 0 THEN 1 ELSE 0 END AS BIGINT) AS n_reasons FROM ez",
+    "quality_results": f"WITH {_QUAL} SELECT episode, num_frames, kept_frames, first_abnormal_frame, stage1_hard_limit, stage1_flagged, round(stage2_da_mean, 5) AS stage2_da_mean, stage3_excluded_frames, stage4_removed_frames, CAST(clusters + hx + hr + hs + ha + CASE WHEN low_mean THEN 1 ELSE 0 END + CASE WHEN low_dim THEN 1 ELSE 0 END + CASE WHEN s3_short THEN 1 ELSE 0 END + CASE WHEN first_abnormal_frame >= 0 THEN 1 ELSE 0 END AS BIGINT) AS n_reasons FROM ez",
     "quality_report": f"WITH {_QUAL} SELECT count(*) AS episodes, CAST(0 AS BIGINT) AS discarded, count(*) AS kept_episodes, CAST(sum(num_frames) AS BIGINT) AS frames, CAST(sum(kept_frames) AS BIGINT) AS kept_frames, CAST(sum(stage1_flagged) AS BIGINT) AS stage1_flagged, CAST(sum(stage3_excluded_frames) AS BIGINT) AS stage3_excluded_frames, CAST(sum(stage4_removed_frames) AS BIGINT) AS stage4_removed_frames, CAST(sum(CASE WHEN kept_frames < 30 THEN 1 ELSE 0 END) AS BIGINT) AS low_valid_prefix, round(avg(stage2_da_mean), 5) AS da_mean, round(min(stage2_da_mean), 5) AS da_min, round(max(stage2_da_mean), 5) AS da_max, count(CASE WHEN stage2_da_mean < 0.7 THEN 1 END) AS da_below_07, 0.0::DOUBLE AS discard_rate, round(sum(kept_frames) / sum(num_frames)::DOUBLE, 5) AS frame_keep_rate FROM ez",
-    "discard_reason_counts": f"WITH {_QUAL}, rs AS (SELECT unnest([CASE WHEN hx > 0 THEN 'hard_limit_state_xyz' END, CASE WHEN hr > 0 THEN 'hard_limit_state_rpy' END, CASE WHEN hs > 0 THEN 'hard_limit_state_gripper' END, CASE WHEN ha > 0 THEN 'hard_limit_action_gripper' END, CASE WHEN low_mean THEN 'stage2:da_episode_mean' END, CASE WHEN low_dim THEN 'stage2:da_low_dims' END, CASE WHEN s3_short THEN 'stage3:remaining_frames' END, CASE WHEN first_abnormal_frame >= 0 THEN 'first_removed_frame' END]) AS reason FROM ez) SELECT reason, count(*) AS n FROM rs WHERE reason IS NOT NULL GROUP BY reason",
+    "discard_reason_counts": f"WITH {_QUAL} SELECT reason, count(*) AS n FROM rs WHERE reason IS NOT NULL GROUP BY reason",
+    "discarded_reason_counts": f"WITH {_QUAL} SELECT reason, count(*) AS n FROM (SELECT reason FROM rs WHERE reason IS NOT NULL AND kept_frames < 60 UNION ALL SELECT 'kept_frames' FROM ez WHERE kept_frames < 60) GROUP BY reason",
     "episode_decision": f"WITH {_FILT} SELECT *, reasons = '' AS keep_episode FROM de",
     "filter_flagged": f"WITH {_FILT} SELECT * FROM (SELECT episode, CAST(sum(CASE WHEN s1 THEN 1 ELSE 0 END) AS BIGINT) AS stage1, CAST(sum(CASE WHEN s3 THEN 1 ELSE 0 END) AS BIGINT) AS stage3, CAST(sum(CASE WHEN cb THEN 1 ELSE 0 END) AS BIGINT) AS low_confidence, CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS bad FROM ju GROUP BY episode) WHERE bad > 0",
     "extreme_bounds": f"WITH {_FILT} SELECT CAST(ch AS BIGINT) AS channel, round(q1 - 0.1 * (q9 - q1), 5) AS lower, round(q9 + 0.1 * (q9 - q1), 5) AS upper FROM bo",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from kinelake.functions import timeseries as ts
 from kinelake.functions.timeseries import Axis
 from kinelake.operators import alignment, statistics
+from kinelake.session import materialise
 from kinelake.sources import read_table
 
 ONE = Axis(("episode",), ("frame",))
@@ -72,7 +73,7 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 def _banded(spark, root) -> DataFrame:
     s = series(spark, root)
-    bounds = statistics.percentile_bounds(s, ["channel"], "x", 0.01, 0.99, ALPHA)
+    bounds = statistics.percentile_bounds(s, "channel", "x", 0.01, 0.99, ALPHA)
     return s.join(bounds.select("channel", "lower", "upper"), "channel").withColumn("bad", (F.col("x") < F.col("lower")) | (F.col("x") > F.col("upper")))
 
 
@@ -112,9 +113,9 @@ def violation_scores(spark, root):
 
 def hist_quantiles(spark, root):
     s = series(spark, root)
-    ranges = statistics.value_ranges(s, ["channel"], "x")
+    ranges = statistics.value_ranges(s, ["channel"], "x").collect()  # one row per channel
     q = statistics.histogram_quantiles(statistics.histogram(s, ranges, ["channel"], "x"), ["channel"], {"q01": 0.01, "q99": 0.99})
-    return _rounded(q.join(ranges, "channel").select("channel", "q01", "q99", F.col("lo").alias("vmin"), F.col("hi").alias("vmax"), F.col("n").alias("num_values")), "q01", "q99")
+    return _rounded(q.join(spark.createDataFrame([tuple(r) for r in ranges], "channel long, lo double, hi double, n long"), "channel").select("channel", "q01", "q99", F.col("lo").alias("vmin"), F.col("hi").alias("vmax"), F.col("n").alias("num_values")), "q01", "q99")
 
 
 def _metrics(spark, root):
@@ -358,14 +359,16 @@ def first_abnormal_cause(spark, root):
 def exclusion_summary(spark, root):
     """Over all episodes: truncated ones, statistics of the kept ratio, frames lost."""
     e = s3_band_prefix(spark, root).withColumn("ratio", F.col("n_kept") / F.col("n_frames"))
-    p = lambda q: F.round(F.percentile("ratio", F.lit(q)), 6)
-    return e.agg(F.count("*").alias("n_episodes"), F.sum((F.col("n_kept") < F.col("n_frames")).cast("long")).alias("n_truncated"), F.round(F.avg("ratio"), 6).alias("mean_ratio"), p(0.5).alias("median_ratio"), F.round(F.min("ratio"), 6).alias("min_ratio"), p(0.1).alias("p10_ratio"), p(0.25).alias("p25_ratio"), F.sum(F.col("n_frames") - F.col("n_kept")).alias("frames_lost"))
+    e, _ = materialise(e.withColumn("g", F.lit(0)), "kept-ratios")
+    q = statistics.exact_quantiles(e, "g", "ratio", {"p10": 0.1, "p25": 0.25, "median": 0.5}).collect()  # one row
+    p = lambda n: F.lit(q[0][n] if q else None).cast("double")
+    return e.agg(F.count("*").alias("n_episodes"), F.sum((F.col("n_kept") < F.col("n_frames")).cast("long")).alias("n_truncated"), F.round(F.avg("ratio"), 6).alias("mean_ratio"), F.round(p("median"), 6).alias("median_ratio"), F.round(F.min("ratio"), 6).alias("min_ratio"), F.round(p("p10"), 6).alias("p10_ratio"), F.round(p("p25"), 6).alias("p25_ratio"), F.sum(F.col("n_frames") - F.col("n_kept")).alias("frames_lost"))
 
 
 def distribution_histogram(spark, root):
     """Residuals in 40 bins between their 0.5 and 99.5 percentiles, per channel."""
-    f = features(spark, root).where("n >= 11").select("channel", F.round("residual", 9).alias("residual"))
-    q = f.groupBy("channel").agg(F.round(F.percentile("residual", F.lit(0.005)), 9).alias("lo"), F.round(F.percentile("residual", F.lit(0.995)), 9).alias("hi"))
+    f, _ = materialise(features(spark, root).where("n >= 11").select("channel", F.round("residual", 9).alias("residual")), "residuals")
+    q = statistics.exact_quantiles(f, "channel", "residual", {"lo": 0.005, "hi": 0.995}).select("channel", F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"))
     at = F.least(F.floor((F.col("residual") - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-12)) * 40), F.lit(39)).cast("long")
     return f.join(q, "channel").where("residual between lo and hi").withColumn("bin", at).groupBy("channel", "bin").agg(F.count("*").alias("n"))
 
@@ -378,7 +381,7 @@ def exceed_counts(spark, root):
 
 def normalize_q01_q99(spark, root):
     s = series(spark, root)
-    bounds = statistics.percentile_bounds(s, ["channel"], "x", 0.01, 0.99, 0.0)
+    bounds = statistics.percentile_bounds(s, "channel", "x", 0.01, 0.99, 0.0)
     return statistics.normalised(s, bounds, ["channel"], "x").select("episode", "frame", "channel", F.round("normalised", 6).alias("normalised"))
 
 

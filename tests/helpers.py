@@ -49,4 +49,5 @@ def same_rows(spark_df, duck_df):
 
     a = sorted(tuple(text(x) for x in r) for r in got[cols].itertuples(index=False))
     b = sorted(tuple(text(x) for x in r) for r in duck_df[cols].astype(object).itertuples(index=False))
-    return a == b, [x for x in a if x not in set(b)][:3], [x for x in b if x not in set(a)][:3]
+    in_a, in_b = set(a), set(b)
+    return a == b, [x for x in a if x not in in_b][:3], [x for x in b if x not in in_a][:3]

@@ -28,7 +28,7 @@ def test_long_runs_of_flags_are_reasons(spark):
             x[20 : 60 + 40 * e], a[70:130] = x[20 : 60 + 40 * e] + rng.normal(0, 0.1, (40 + 40 * e, 20)), a[70:130] + rng.normal(0, 0.1, (60, 20))
         rows += [frame(e, t, x[t], a[t]) for t in range(160)]
     # Low thresholds, so that shaken stretches are flagged in whole runs.
-    config = q.QualityConfig(k=0.0, percentile_floor=30.0, episode_cluster=6)
+    config = q.QualityConfig(k_residual=0.0, k_accel=0.0, k_jerk=0.0, percentile_floor=30.0, episode_cluster=6)
     masks = q.keep_masks(frames_table(spark, rows), config)
     got = {r["episode"]: r["discard_reasons"] for r in q.episode_results(masks, config).collect()}
     seen = {e: [] for e in range(3)}
