@@ -55,22 +55,35 @@ def rests(frames: DataFrame, epsilon: float = EPSILON, least: int = 3) -> DataFr
 
 def collapse_rests(frames: DataFrame, epsilon: float = EPSILON, least: int = 3) -> DataFrame:
     """``frames`` with each rest reduced to its first frame, plus ``rest_frames`` and ``rest_duration_s`` (1 and 0 for all
-    other frames, which stay as they are, with all their columns; frames without keys too).  Frames delivered several
-    times are kept once.  A column that is named like one of the two added ones is replaced."""
-    found = rests(frames, epsilon, least)
-    keyed = frames.where("episode_index is not null and frame_index is not null").dropDuplicates(["episode_index", "frame_index"])
-    unkeyed = frames.where("episode_index is null or frame_index is null")
-    # A rest is looked up by the blocks of frames it touches: an equi-join, a row meets only the rests of its block.
-    span = 64
-    touched = found.withColumn("_at", F.explode(F.sequence(F.floor(F.col("first_frame") / span), F.floor(F.col("last_frame") / span)))).select(F.col("episode_index").alias("_e"), "_at", F.col("first_frame").alias("_first"), F.col("last_frame").alias("_last"), F.col("n_frames").alias("_n"), F.col("duration_s").alias("_d"))
-    inside = (F.col("episode_index") == F.col("_e")) & (F.floor(F.col("frame_index") / span) == F.col("_at")) & F.col("frame_index").between(F.col("_first"), F.col("_last"))
-    rows = keyed.join(touched, inside, "left").where("_first is null or frame_index = _first")
-    n, d = F.coalesce("_n", F.lit(1)).cast("long"), F.when(F.col("_n").isNull(), 0.0).otherwise(F.col("_d"))
-    rows = rows.withColumn("rest_frames", n).withColumn("rest_duration_s", d)
-    names = [*[c for c in frames.columns if c not in ("rest_frames", "rest_duration_s")], "rest_frames", "rest_duration_s"]
-    unkeyed = unkeyed.withColumn("rest_frames", F.lit(1).cast("long")).withColumn("rest_duration_s", F.lit(0.0))
-    pick = [F.col(f"`{c}`") for c in names]
-    return rows.select(*pick).unionByName(unkeyed.select(*pick))
+    other frames, which stay as they are, with all their columns; frames without keys too).  Of a frame delivered several
+    times the delivery of the least ``ingest_ts`` and ``file_id`` stays.  A column that is named like one of the two added
+    ones is replaced.
+
+    Frames are shuffled once, with all their columns; whether a frame lies inside a rest shows within ``least`` - 1 frames
+    of it.  Only the first frames of rests meet the table of rests."""
+    names = [c for c in frames.columns if c not in ("rest_frames", "rest_duration_s")]
+    # The columns travel in one struct, so that none of their names can clash.
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    first = [F.col(c) if c in names else F.lit(None) for c in ("ingest_ts", "file_id")]
+    keyed = frames.where("episode_index is not null and frame_index is not null").select("episode_index", "frame_index", F.struct(*[f.alias(f"k{i}") for i, f in enumerate(first)]).alias("_first"), whole.alias("row"))
+    s, a = f"row.c{names.index('observation.state')}", f"row.c{names.index('action')}"
+    blocked = with_halo(keyed, SPAN, least)
+    w = Window.partitionBy("episode_index", "block").orderBy("frame_index", "_first")
+    one = blocked.withColumn("_before", F.lag("frame_index").over(w)).where("_before is null or _before <> frame_index")
+    v = Window.partitionBy("episode_index", "block").orderBy("frame_index")
+    near = (F.col("_before") == F.col("frame_index") - 1) & _close(F.col(s), F.lag(s).over(v), epsilon) & _close(F.col(a), F.lag(a).over(v), epsilon)
+    one = one.withColumn("same", F.coalesce(near, F.lit(False)))
+    # A frame that stays is inside a rest if least - 1 frames in a row around it stay.
+    still, full = F.col("same").cast("int"), F.lit(False)
+    for k in range(least - 1):
+        full = full | (F.coalesce(F.sum(still).over(v.rowsBetween(-k, least - 2 - k)), F.lit(0)) == least - 1)
+    one = one.withColumn("inside", F.col("same") & full)
+    one = one.withColumn("opens", ~F.col("inside") & F.coalesce(F.lead("inside").over(v), F.lit(False))).where("own and not inside")
+    found = rests(frames, epsilon, least).select(F.col("episode_index").alias("_e"), F.col("first_frame").alias("_f"), "n_frames", "duration_s")
+    starts = one.where("opens").join(found, (F.col("episode_index") == F.col("_e")) & (F.col("frame_index") == F.col("_f")))
+    out = one.where("not opens").select("row", F.lit(1).cast("long").alias("rest_frames"), F.lit(0.0).alias("rest_duration_s")).unionByName(starts.select("row", F.col("n_frames").alias("rest_frames"), F.col("duration_s").alias("rest_duration_s")))
+    unkeyed = frames.where("episode_index is null or frame_index is null").select(whole.alias("row"), F.lit(1).cast("long").alias("rest_frames"), F.lit(0.0).alias("rest_duration_s"))
+    return out.unionByName(unkeyed).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)], "rest_frames", "rest_duration_s")
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
