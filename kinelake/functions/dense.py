@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 
 
-def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
-    """A list column as an (n, width) float64 matrix: null lists, null elements and missing tails are NaN, longer lists are cut."""
+def matrix(column: pa.Array | pa.ChunkedArray, width: int, strict: bool = False) -> np.ndarray:
+    """A list column as an (n, width) float64 matrix: null lists, null elements and missing tails are NaN.  Of longer lists
+    only the first ``width`` elements are channels; with ``strict`` they are an error."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -25,6 +26,8 @@ def matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     if (lengths == width).all():
         return values.reshape(n, width).copy()
+    if strict and (lengths > width).any():
+        raise ValueError(f"a list of {int(lengths.max())} numbers where {width} are declared")
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     pos = np.arange(width)
     have = pos[None, :] < lengths[:, None]

@@ -298,16 +298,13 @@ def nearest_rotation(r):
     import numpy as np
     import pandas as pd
 
-    out = []
-    for v in r:
-        if v is None or len(v) != 9 or not np.isfinite(v).all():
-            out.append(None)
-            continue
-        u, _, vt = np.linalg.svd(np.asarray(v, float).reshape(3, 3))
-        if np.linalg.det(u @ vt) < 0:
-            u[:, -1] *= -1
-        out.append((u @ vt).ravel().tolist())
-    return pd.Series(out)
+    known = [v is not None and len(v) == 9 and np.isfinite(v).all() for v in r]
+    out = pd.Series([None] * len(r), dtype=object)
+    if any(known):
+        u, _, vt = np.linalg.svd(np.stack([np.asarray(v, float) for v, k in zip(r, known) if k]).reshape(-1, 3, 3))
+        u[:, :, 2] *= np.where(np.linalg.det(u @ vt) < 0, -1.0, 1.0)[:, None]
+        out[np.flatnonzero(known)] = list((u @ vt).reshape(-1, 9).tolist())
+    return out
 
 
 def repair_rotation(r: Column) -> Column:

@@ -105,7 +105,7 @@ def _residuals(config: FilterConfig, batches):
     for table in whole_groups(batches, "episode", rows=5_000):
         starts = starts_of(longs(table, "episode"))
         ends = np.append(starts[1:], table.num_rows)
-        x = matrix(table.column("action"), WIDTH)
+        x = matrix(table.column("action"), WIDTH, strict=True)
         residual, limit = np.empty_like(x), np.empty_like(x)
         for a, b in zip(starts, ends):
             residual[a:b] = np.round(np.abs(x[a:b] - trend(x[a:b], config.median_window, config.smooth_window)), 9)

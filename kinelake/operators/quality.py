@@ -240,7 +240,7 @@ def _features(config: QualityConfig, batches):
         length = np.diff(np.append(starts, n))
         first = np.repeat(starts, length)
         last = first + np.repeat(length, length) - 1
-        state, action = matrix(table.column("state"), DIMS), matrix(table.column("action"), DIMS)
+        state, action = matrix(table.column("state"), DIMS, strict=True), matrix(table.column("action"), DIMS, strict=True)
         x = np.concatenate([state, action], axis=1)
         smooth = smoothed(x, first, last, config.median_kernel, config.savgol_window, config.savgol_order)
         accel = gradient(gradient(x, first, last), first, last)
@@ -447,7 +447,12 @@ def stage4(rows: DataFrame, config: QualityConfig = QualityConfig(), within: str
 
 
 def keep_masks(frames: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
-    """One row per frame with the stages' verdicts and ``keep`` (1 or 0): truncated at the first frame that stage 1 or 3
+    """The rows of :func:`masks_and_thresholds`."""
+    return masks_and_thresholds(frames, config)[0]
+
+
+def masks_and_thresholds(frames: DataFrame, config: QualityConfig = QualityConfig()) -> tuple[DataFrame, list]:
+    """The thresholds of stage 1 (channel, metric, threshold), and one row per frame with the stages' verdicts and ``keep`` (1 or 0): truncated at the first frame that stage 1 or 3
     finds bad (all frames, where stage 2 rejects the episode), minus static frames."""
     from kinelake.session import materialise
 
@@ -462,7 +467,7 @@ def keep_masks(frames: DataFrame, config: QualityConfig = QualityConfig()) -> Da
     rows = rows.withColumn("bad", F.col("s1_bad") | F.when(F.col("s2_discard"), F.lit(True)).otherwise(F.col("s3_bad")))
     rows = rows.withColumn("in_prefix", F.max(F.col("bad").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) == 0)
     rows = stage4(rows, config, "in_prefix")
-    return rows.withColumn("keep", (F.col("in_prefix") & ~F.col("s4_remove")).cast("int"))
+    return rows.withColumn("keep", (F.col("in_prefix") & ~F.col("s4_remove")).cast("int")), thresholds
 
 
 def episode_results(masks: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:

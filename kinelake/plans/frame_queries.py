@@ -10,6 +10,7 @@ from kinelake.operators import alignment, episode_filter, export, quality
 from kinelake.functions.timeseries import Axis
 from kinelake.plans.series_queries import SG, W, sql_at, sql_fir
 from kinelake.sources import read_table
+from kinelake.sources.raw import DEFAULT_INTRINSICS
 
 CONFIG = quality.QualityConfig()
 FILTER = episode_filter.FilterConfig()
@@ -34,11 +35,13 @@ def _cells(df: DataFrame, value: str, keys=("episode", "frame_index"), digits: i
 
 
 def rot6d_matrix(spark, root):
-    return _cells(_states(spark, root).withColumn("m", g.rot6d_to_matrix(F.col("s"), 3)), "m")
+    """Rotations of both hands: left from 0, right from 9."""
+    return _cells(_states(spark, root).withColumn("m", F.concat(g.rot6d_to_matrix(F.col("s"), 3), g.rot6d_to_matrix(F.col("s"), 13))), "m")
 
 
 def rot6d_matrix_gs(spark, root):
-    return _cells(_states(spark, root).withColumn("m", g.rot6d_to_matrix_gs(F.col("s"), 3)), "m")
+    """The same by Gram-Schmidt."""
+    return _cells(_states(spark, root).withColumn("m", F.concat(g.rot6d_to_matrix_gs(F.col("s"), 3), g.rot6d_to_matrix_gs(F.col("s"), 13))), "m")
 
 
 def canonical14(spark, root):
@@ -46,8 +49,8 @@ def canonical14(spark, root):
 
 
 def rotation_checks(spark, root):
-    """Orthogonality error and determinant of the left rotation, per episode."""
-    r = _states(spark, root).withColumn("m", g.rot6d_to_matrix(F.col("s"), 3))
+    """Orthogonality error and determinant of both hands' rotations, per episode."""
+    r = _states(spark, root).select("episode", F.explode(F.array(g.rot6d_to_matrix(F.col("s"), 3), g.rot6d_to_matrix(F.col("s"), 13))).alias("m"))
     def error(m):
         p = g.mat_mul(g.items(m, 9), g.transposed(g.items(m, 9)))
         return F.greatest(*[F.abs(x - (1.0 if i in (0, 4, 8) else 0.0)) for i, x in enumerate(p)])
@@ -84,26 +87,35 @@ def rigid_inverse(spark, root):
 
 
 def first_frame_align(spark, root):
-    """The left wrist seen from the episode's first usable head pose; world keypoints only."""
-    r = _poses(spark, root).where(g.pose7_valid(F.col("p")) & (F.col("joint_frame") == "world") & (F.size("left_keypoints") >= 3)).withColumn("t", g.head_pose(F.col("p")))
+    """The wrists (left from 0, right from 3) seen from the episode's first usable head pose; world keypoints only."""
+    r = _poses(spark, root).where(g.pose7_valid(F.col("p")) & (F.col("joint_frame") == "world")).withColumn("t", g.head_pose(F.col("p")))
     r = r.withColumn("t0", F.first("t").over(Window.partitionBy("episode").orderBy("frame_index"))).withColumn("inv", g.rigid_inverse(F.col("t0")))
-    return _cells(r.withColumn("x", g.move_point(F.col("inv"), g.items(F.col("left_keypoints"), 3))).where(g.keypoints_valid(F.slice("left_keypoints", 1, 3))), "x")
+    wrist = lambda h: _cells(r.where(g.keypoints_valid(F.slice(h, 1, 3)) & (F.size(h) >= 3)).withColumn("x", g.move_point(F.col("inv"), g.items(F.col(h), 3))), "x")
+    return wrist("left_keypoints").unionByName(wrist("right_keypoints").withColumn("i", F.col("i") + 3))
 
 
 def retarget_gripper(spark, root):
-    """Gripper of the right hand from wrist, thumb, index and middle tip (joints 0, 4, 8, 12)."""
-    r = _poses(spark, root).where(g.keypoints_valid(F.col("right_keypoints")) & (F.size("right_keypoints") == 63))
-    hand = g.retarget(*[g.items(F.col("right_keypoints"), 3, 3 * j) for j in (4, 8, 12, 0)], 1)
-    # Generated, so that the fields are computed once and the struct is not copied into each use.
-    rows = r.select("episode", "frame_index", F.inline(F.array(hand))).where("valid")
-    return _cells(rows.withColumn("a", g.gripper_action(F.col("position"), F.col("rotation"), F.col("width"))), "a")
+    """Grippers of both hands (right from 0, left from 10) from wrist, thumb, index and middle tip (joints 0, 4, 8, 12)."""
+    out = None
+    for base, name, side in ((0, "right_keypoints", 1), (10, "left_keypoints", -1)):
+        r = _poses(spark, root).where(g.keypoints_valid(F.col(name)) & (F.size(name) == 63))
+        hand = g.retarget(*[g.items(F.col(name), 3, 3 * j) for j in (4, 8, 12, 0)], side)
+        # Generated, so that the fields are computed once and the struct is not copied into each use.
+        rows = r.select("episode", "frame_index", F.inline(F.array(hand))).where("valid")
+        one = _cells(rows.withColumn("a", g.gripper_action(F.col("position"), F.col("rotation"), F.col("width"))), "a").withColumn("i", F.col("i") + base)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def project_points(spark, root):
-    """Left wrist in pixels (wrist 0 of world keypoints, taken as camera coordinates), default intrinsics."""
-    r = _poses(spark, root).where((F.col("joint_frame") == "world") & g.keypoints_valid(F.slice("left_keypoints", 1, 3)))
-    uv = g.project(g.items(F.col("left_keypoints"), 3), 736.6339, 736.6339, 960.0, 540.0)
-    return _cells(r.withColumn("uv", uv).where("uv is not null"), "uv", digits=3)
+    """Wrists in pixels (left from 0, right from 2; world keypoints, taken as camera coordinates), default intrinsics."""
+    out = None
+    for base, name in ((0, "left_keypoints"), (2, "right_keypoints")):
+        r = _poses(spark, root).where((F.col("joint_frame") == "world") & g.keypoints_valid(F.slice(name, 1, 3)))
+        uv = g.project(g.items(F.col(name), 3), *DEFAULT_INTRINSICS)
+        one = _cells(r.withColumn("uv", uv).where("uv is not null"), "uv", digits=3).withColumn("i", F.col("i") + base)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def confidence_pair(spark, root):
@@ -216,7 +228,8 @@ def episode_meta(spark, root):
 
 
 def alignment_verify(spark, root):
-    return export.verify_alignment(_frames(spark, root), read_table(spark, root, "episodes"))
+    """Issues of the delivered frames; the totals are those of an information file that says 1,000,000 and 1,000."""
+    return export.verify_alignment(_frames(spark, root), read_table(spark, root, "episodes"), total_frames=1_000_000, total_episodes=1_000)
 
 
 def exported_frames(spark, root):
@@ -240,16 +253,11 @@ def _pooled_agreement(spark, root, max_lag: int) -> DataFrame:
 
 
 def pooled_frame_agreement(spark, root):
-    """The episode filter's directional agreement of state and action over all 20 channels, lags up to 2 only."""
-    return _pooled_agreement(spark, root, 2)
-
-
-def pooled_frame_agreement_full(spark, root):
-    """The same over the filter's whole range of lags (up to 10)."""
+    """The episode filter's directional agreement of state and action over all 20 channels and its whole range of lags."""
     return _pooled_agreement(spark, root, FILTER.max_lag)
 
 
-QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, discarded_reason_counts, episode_decision, filter_flagged, filter_flagged_cap, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement, pooled_frame_agreement_full)}
+QUERIES = {f.__name__: f for f in (rot6d_matrix, rot6d_matrix_gs, canonical14, rotation_checks, quat_matrix, matrix_quat, pose_validity, rigid_inverse, first_frame_align, retarget_gripper, project_points, confidence_pair, stage5_aligned, hard_limits, global_frame_stats, static_removed, quality_results, quality_report, discard_reason_counts, discarded_reason_counts, episode_decision, filter_flagged, filter_flagged_cap, extreme_bounds, semi_keep_episodes, task_reindex, episode_meta, alignment_verify, exported_frames, orphan_episodes, pooled_frame_agreement)}
 
 # SQL -------------------------------------------------------------------------------------------
 
@@ -299,17 +307,25 @@ def _unnest(source: str, value: str, digits: int = 5, keys: str = "episode, fram
 
 
 _INV = "[m[1], m[4], m[7], -(m[1] * {0} + m[4] * {1} + m[7] * {2}), m[2], m[5], m[8], -(m[2] * {0} + m[5] * {1} + m[8] * {2}), m[3], m[6], m[9], -(m[3] * {0} + m[6] * {1} + m[9] * {2}), 0, 0, 0, 1]".format(*[_at("p", i) for i in range(3)])
-_J = lambda j: [_at("r", 3 * j + k) for k in range(3)]
-_RET = f"""{_KP}, ok AS (SELECT * FROM kp WHERE {_valid('r')} AND len(r) = 63),
-        fi AS (SELECT *, {', '.join(f'0.7 * {a} + 0.3 * {b} AS f{k}' for k, (a, b) in enumerate(zip(_J(8), _J(12))))}, {', '.join(f'{a} AS t{k}' for k, a in enumerate(_J(4)))}, {', '.join(f'{a} AS w{k}' for k, a in enumerate(_J(0)))} FROM ok),
+def _gripper(v: str, side: int, tag: str) -> str:
+    """CTEs up to ``{tag}re`` (episode, frame_index, act): the gripper of the hand in column ``v``."""
+    j = lambda n: [_at(v, 3 * n + k) for k in range(3)]
+    body = f"""ok AS (SELECT * FROM kp WHERE {_valid(v)} AND len({v}) = 63),
+        fi AS (SELECT *, {', '.join(f'0.7 * {a} + 0.3 * {b} AS f{k}' for k, (a, b) in enumerate(zip(j(8), j(12))))}, {', '.join(f'{a} AS t{k}' for k, a in enumerate(j(4)))}, {', '.join(f'{a} AS w{k}' for k, a in enumerate(j(0)))} FROM ok),
         ga AS (SELECT *, sqrt((t0 - f0) ** 2 + (t1 - f1) ** 2 + (t2 - f2) ** 2) AS wd FROM fi),
-        gz AS (SELECT *, (t0 - f0) / greatest(wd, 1e-8) AS z0, (t1 - f1) / greatest(wd, 1e-8) AS z1, (t2 - f2) / greatest(wd, 1e-8) AS z2 FROM ga),
+        gz AS (SELECT *, {', '.join(f'{side} * (t{k} - f{k}) / greatest(wd, 1e-8) AS z{k}' for k in range(3))} FROM ga),
         gr AS (SELECT *, z1 * (f2 - w2) - z2 * (f1 - w1) AS r0, z2 * (f0 - w0) - z0 * (f2 - w2) AS r1, z0 * (f1 - w1) - z1 * (f0 - w0) AS r2 FROM gz),
         gn AS (SELECT *, sqrt(r0 * r0 + r1 * r1 + r2 * r2) AS rn FROM gr), gv AS (SELECT * FROM gn WHERE wd > 1e-6 AND rn > 1e-6),
         gx AS (SELECT *, r1 / rn * z2 - r2 / rn * z1 AS u0, r2 / rn * z0 - r0 / rn * z2 AS u1, r0 / rn * z1 - r1 / rn * z0 AS u2 FROM gv),
         gu AS (SELECT *, u0 / sqrt(u0 * u0 + u1 * u1 + u2 * u2) AS x0, u1 / sqrt(u0 * u0 + u1 * u1 + u2 * u2) AS x1, u2 / sqrt(u0 * u0 + u1 * u1 + u2 * u2) AS x2 FROM gx),
         gy AS (SELECT *, z1 * x2 - z2 * x1 AS y0, z2 * x0 - z0 * x2 AS y1, z0 * x1 - z1 * x0 AS y2 FROM gu),
         re AS (SELECT episode, frame_index, [(t0 + f0) / 2, (t1 + f1) / 2, (t2 + f2) / 2, x0, x1, x2, y0, y1, y2, wd] AS act FROM gy)"""
+    for n in ("ok", "fi", "ga", "gz", "gr", "gn", "gv", "gx", "gu", "gy", "re"):
+        body = body.replace(f"{n} AS (", f"{tag}{n} AS (").replace(f"FROM {n}", f"FROM {tag}{n}")
+    return body
+
+
+_RET = f"{_KP}, {_gripper('r', 1, 'r')}, {_gripper('l', -1, 'l')}, re AS (SELECT *, 0 AS o FROM rre UNION ALL SELECT *, 10 FROM lre)"
 
 _ABS = "list_max([abs(x) FOR x IN {}])"
 _S1HARD = "max(CASE WHEN ch IN (0, 1, 2, 7, 8, 9) AND abs(x) > 2.0 THEN 1 ELSE 0 END) AS hx, max(CASE WHEN ch IN (3, 4, 5, 10, 11, 12) AND abs(x) > 3.14159265 THEN 1 ELSE 0 END) AS hr, max(CASE WHEN ch IN (6, 13) AND abs(x) > 1.0 THEN 1 ELSE 0 END) AS hs, max(CASE WHEN ch IN (20, 27) AND abs(x) > 1.0 THEN 1 ELSE 0 END) AS ha"
@@ -338,7 +354,7 @@ _QUAL = f"""{_GSTAT}, md AS (SELECT *, {_MED} AS m, count(*) OVER (PARTITION BY
         ms AS (SELECT ch, me, greatest(8 * greatest(sum(abs(v - mean) * c) / sum(c), 0.01 * sqrt(sum((v - mean) * (v - mean) * c) / sum(c)), 1e-12), min(CASE WHEN upto >= CAST(99.9 AS DOUBLE) / 100 * total THEN v END), 1e-12) AS th FROM mc JOIN mm USING (ch, me) GROUP BY ALL),
         tw AS (SELECT ch, max(CASE WHEN me = 'r' THEN th END) AS tr_, max(CASE WHEN me = 'a' THEN th END) AS ta_, max(CASE WHEN me = 'j' THEN th END) AS tj_ FROM ms GROUP BY ch),
         su AS (SELECT episode, ch - 14 AS d, min(CASE WHEN abs(x) > 1e-4 THEN t END) AS first FROM ca WHERE ch >= 14 GROUP BY ALL),
-        fl AS (SELECT ft.*, (su.first IS NULL OR ft.t < su.first) AS start, n >= 11 AND re > tr_ AND (abs(ac) > ta_ OR abs(je) > tj_) AND NOT (su.first IS NULL OR ft.t < su.first) AS s1 FROM ft JOIN tw USING (ch) JOIN su ON su.episode = ft.episode AND su.d = ft.ch % 14),
+        fl AS (SELECT ft.*, tr_, ta_, tj_, (su.first IS NULL OR ft.t < su.first) AS start, n >= 11 AND re > tr_ AND (abs(ac) > ta_ OR abs(je) > tj_) AND NOT (su.first IS NULL OR ft.t < su.first) AS s1 FROM ft JOIN tw USING (ch) JOIN su ON su.episode = ft.episode AND su.d = ft.ch % 14),
         fb AS (SELECT fl.*, NOT start AND fl.ch % 14 NOT IN (6, 13) AND (x < q01 - 0.15 * (q99 - q01) OR x > q99 + 0.15 * (q99 - q01)) AS band,
                 (fl.ch IN (0, 1, 2, 7, 8, 9) AND (x < -2 OR x > 2)) OR (fl.ch IN (3, 4, 5, 10, 11, 12) AND (x < -3.15 OR x > 3.15)) OR (fl.ch IN (6, 13, 20, 27) AND (x < -0.01 OR x > 1)) AS hard3 FROM fl JOIN gq USING (ch)),
         pf AS (SELECT episode, t, any_value(frame_index) AS frame_index, any_value(n) AS n, CAST(sum(CASE WHEN s1 THEN 1 ELSE 0 END) AS BIGINT) AS flagged, {_S1HARD}, bool_or(band OR hard3) AS s3, list(x ORDER BY ch) AS vec FROM fb GROUP BY ALL),
@@ -384,20 +400,22 @@ _FILT = f"""{_FR}, lo AS (SELECT episode, frame_index, t, i AS ch, CAST(a[i + 1]
         dr AS (SELECT episode, count(*) AS length, avg(CASE WHEN s1 THEN 1.0::DOUBLE ELSE 0 END) AS a1, avg(CASE WHEN s3 THEN 1.0::DOUBLE ELSE 0 END) AS a3, avg(CASE WHEN cb THEN 1.0::DOUBLE ELSE 0 END) AS ac, avg(CASE WHEN bad THEN 1.0::DOUBLE ELSE 0 END) AS ab FROM ju GROUP BY episode),
         de AS (SELECT episode, length, round(ab, 6) AS bad_frame_ratio, concat_ws(',', CASE WHEN a1 > 0.2 THEN 'sudden_change_high' END, CASE WHEN a3 > 0.2 THEN 'extreme_value_high' END, CASE WHEN ac > 0.2 THEN 'low_confidence' END, CASE WHEN ab > 0.2 THEN 'bad_frame_ratio_high' END) AS reasons FROM dr)"""
 
-_LEFT = f"{_FR}, six AS (SELECT episode, frame_index, {_six('s', 3)} FROM fr), {_rotation('six', 's', 'ro')}"
+_SIX = f"six AS (SELECT episode, frame_index, 0 AS o, {_six('s', 3)} FROM fr UNION ALL SELECT episode, frame_index, 9, {_six('s', 13)} FROM fr)"
+_LEFT = f"{_FR}, {_SIX}, {_rotation('six', 's', 'ro')}"
+_NINE = "SELECT episode, frame_index, CAST(i + o AS BIGINT) AS i, round(m[i + 1] + 1e-7, 5) AS v FROM mt, range(9) g(i)"
 _MAT = "[x1, y1, z1, x2, y2, z2, x3, y3, z3]"
 ORACLES = {
-    "rot6d_matrix": f"WITH {_LEFT}, mt AS (SELECT episode, frame_index, {_MAT} AS m FROM ro) {_unnest('mt', 'm')}",
-    "rot6d_matrix_gs": f"WITH {_FR}, six AS (SELECT episode, frame_index, {_six('s', 3)} FROM fr), g1 AS (SELECT *, greatest(sqrt(a * a + b * b + c * c), 1e-8) AS n FROM six), g2 AS (SELECT *, a / n AS x1, b / n AS x2, c / n AS x3 FROM g1), g3 AS (SELECT *, x1 * d + x2 * e + x3 * f AS dp FROM g2), g4 AS (SELECT *, d - dp * x1 AS u1, e - dp * x2 AS u2, f - dp * x3 AS u3 FROM g3), g5 AS (SELECT *, greatest(sqrt(u1 * u1 + u2 * u2 + u3 * u3), 1e-8) AS k FROM g4), g6 AS (SELECT *, u1 / k AS y1, u2 / k AS y2, u3 / k AS y3 FROM g5), mt AS (SELECT episode, frame_index, [x1, y1, x2 * y3 - x3 * y2, x2, y2, x3 * y1 - x1 * y3, x3, y3, x1 * y2 - x2 * y1] AS m FROM g6) {_unnest('mt', 'm')}",
+    "rot6d_matrix": f"WITH {_LEFT}, mt AS (SELECT episode, frame_index, o, {_MAT} AS m FROM ro) {_NINE}",
+    "rot6d_matrix_gs": f"WITH {_FR}, {_SIX}, g1 AS (SELECT *, greatest(sqrt(a * a + b * b + c * c), 1e-8) AS n FROM six), g2 AS (SELECT *, a / n AS x1, b / n AS x2, c / n AS x3 FROM g1), g3 AS (SELECT *, x1 * d + x2 * e + x3 * f AS dp FROM g2), g4 AS (SELECT *, d - dp * x1 AS u1, e - dp * x2 AS u2, f - dp * x3 AS u3 FROM g3), g5 AS (SELECT *, greatest(sqrt(u1 * u1 + u2 * u2 + u3 * u3), 1e-8) AS k FROM g4), g6 AS (SELECT *, u1 / k AS y1, u2 / k AS y2, u3 / k AS y3 FROM g5), mt AS (SELECT episode, frame_index, o, [x1, y1, x2 * y3 - x3 * y2, x2, y2, x3 * y1 - x1 * y3, x3, y3, x1 * y2 - x2 * y1] AS m FROM g6) {_NINE}",
     "canonical14": f"WITH {CANON} SELECT episode, frame_index, CAST(ch AS BIGINT) AS i, round(x + 1e-7, 4) AS v FROM ca WHERE ch < 14",
     "rotation_checks": f"WITH {_LEFT}, ch AS (SELECT episode, greatest(abs(x1 * x1 + y1 * y1 + z1 * z1 - 1), abs(x2 * x2 + y2 * y2 + z2 * z2 - 1), abs(x3 * x3 + y3 * y3 + z3 * z3 - 1), abs(x1 * x2 + y1 * y2 + z1 * z2), abs(x1 * x3 + y1 * y3 + z1 * z3), abs(x2 * x3 + y2 * y3 + z2 * z3)) AS e, x1 * (y2 * z3 - z2 * y3) - y1 * (x2 * z3 - z2 * x3) + z1 * (x2 * y3 - y2 * x3) AS d FROM ro) SELECT episode, round(max(e), 5) AS max_error, round(min(d), 5) AS min_det, round(max(d), 5) AS max_det FROM ch GROUP BY episode",
     "quat_matrix": f"WITH {_QM} {_unnest('qm', 'm')}",
     "matrix_quat": f"WITH {_QM}, bg AS (SELECT episode, frame_index, [w, x, y, z] AS q0 FROM qm), si AS (SELECT episode, frame_index, q0, list_max([(round(abs(v), 6), sign(v)) FOR v IN q0]) AS b FROM bg), qs AS (SELECT episode, frame_index, [v * b[2] FOR v IN q0] AS q FROM si) {_unnest('qs', 'q')}",
     "pose_validity": f"WITH {_KP} SELECT episode, frame_index, coalesce({_POSE_OK}, false) AS pose_ok, {_valid('l')} AS left_ok, {_valid('r')} AS right_ok FROM kp",
     "rigid_inverse": f"WITH {_QM}, iv AS (SELECT episode, frame_index, {_INV} AS inv FROM qm) {_unnest('iv', 'inv')}",
-    "first_frame_align": f"WITH {_QM}, fw AS (SELECT episode, frame_index, l, {_INV} AS inv FROM qm WHERE joint_frame = 'world' AND len(l) >= 3), f0 AS (SELECT *, first_value(inv) OVER (PARTITION BY episode ORDER BY frame_index) AS g FROM fw), al AS (SELECT episode, frame_index, [g[4 * r + 1] * {_at('l', 0)} + g[4 * r + 2] * {_at('l', 1)} + g[4 * r + 3] * {_at('l', 2)} + g[4 * r + 4] FOR r IN [0, 1, 2]] AS x FROM f0 WHERE {_valid('l[1:3]')}) {_unnest('al', 'x')}",
-    "retarget_gripper": f"WITH {_RET} {_unnest('re', 'act')}",
-    "project_points": f"WITH {_KP}, pr AS (SELECT episode, frame_index, [736.6339::DOUBLE * {_at('l', 0)} / {_at('l', 2)} + 960, 736.6339::DOUBLE * {_at('l', 1)} / {_at('l', 2)} + 540] AS uv FROM kp WHERE joint_frame = 'world' AND {_valid('l[1:3]')} AND {_at('l', 2)} > 1e-4) {_unnest('pr', 'uv', 3)}",
+    "first_frame_align": f"WITH {_QM}, fw AS (SELECT episode, frame_index, l, r, {_INV} AS inv FROM qm WHERE joint_frame = 'world'), f0 AS (SELECT *, first_value(inv) OVER (PARTITION BY episode ORDER BY frame_index) AS g FROM fw), " + ", ".join(f"a{v} AS (SELECT episode, frame_index, {base} AS o, [" + ", ".join(f"g[{4 * k + 1}] * {_at(v, 0)} + g[{4 * k + 2}] * {_at(v, 1)} + g[{4 * k + 3}] * {_at(v, 2)} + g[{4 * k + 4}]" for k in range(3)) + f"] AS x FROM f0 WHERE len({v}) >= 3 AND {_valid(f'{v}[1:3]')})" for v, base in (("l", 0), ("r", 3))) + " SELECT episode, frame_index, CAST(i + o AS BIGINT) AS i, round(x[i + 1] + 1e-7, 5) AS v FROM (SELECT * FROM al UNION ALL SELECT * FROM ar), range(3) h(i)",
+    "retarget_gripper": f"WITH {_RET} SELECT episode, frame_index, CAST(i + o AS BIGINT) AS i, round(act[i + 1] + 1e-7, 5) AS v FROM re, range(10) g(i)",
+    "project_points": f"WITH {_KP}, " + ", ".join(f"a{v} AS (SELECT episode, frame_index, {base} AS o, [736.6339::DOUBLE * {_at(v, 0)} / {_at(v, 2)} + 960, 736.6339::DOUBLE * {_at(v, 1)} / {_at(v, 2)} + 540] AS x FROM kp WHERE joint_frame = 'world' AND {_valid(f'{v}[1:3]')} AND {_at(v, 2)} > 1e-4)" for v, base in (("l", 0), ("r", 2))) + " SELECT episode, frame_index, CAST(i + o AS BIGINT) AS i, round(x[i + 1] + 1e-7, 3) AS v FROM (SELECT * FROM al UNION ALL SELECT * FROM ar), range(2) h(i)",
     "confidence_pair": f"WITH {_FILT} SELECT episode, frame_index, round(c, 5) AS confidence FROM cf WHERE NOT none",
     "hard_limits": f"WITH {CANON}, pf AS (SELECT episode, t, {_S1HARD} FROM ca GROUP BY ALL) SELECT CAST(0 AS BIGINT) AS hard_state_joint, CAST(0 AS BIGINT) AS hard_action_joint, CAST(sum(hx) AS BIGINT) AS hard_state_xyz, CAST(sum(hr) AS BIGINT) AS hard_state_rpy, CAST(sum(hs) AS BIGINT) AS hard_state_gripper, CAST(sum(ha) AS BIGINT) AS hard_action_gripper FROM pf",
     "global_frame_stats": f"WITH {_GSTAT} SELECT CAST(ch AS BIGINT) AS channel, round(q01, 3) AS q01, round(q99, 3) AS q99, CAST(n AS BIGINT) AS n FROM gq",
@@ -412,14 +430,16 @@ ORACLES = {
     "semi_keep_episodes": f"WITH {_FILT} SELECT corpus, count(DISTINCT episode_index) AS n_episodes FROM episodes WHERE episode_index IN (SELECT episode FROM de WHERE reasons = '') GROUP BY corpus",
     "task_reindex": "WITH fa AS (SELECT t.task_name AS task, min(episode_index) AS o FROM episodes e JOIN tasks t USING (task_index) GROUP BY 1) SELECT task, CAST(row_number() OVER (ORDER BY o, task) - 1 AS BIGINT) AS new_index FROM fa",
     "episode_meta": "WITH n AS (SELECT episode_index, count(DISTINCT frame_index) AS length FROM frames GROUP BY 1), t AS (SELECT episode_index, list_sort(list(DISTINCT task_name) FILTER (task_name IS NOT NULL)) AS tasks FROM episodes GROUP BY 1) SELECT episode_index, length, CAST(coalesce(len(tasks), 0) AS BIGINT) AS n_tasks, coalesce(array_to_string(tasks, '|'), '') AS tasks FROM n LEFT JOIN t USING (episode_index)",
-    "alignment_verify": """WITH f AS (SELECT episode_index, count(*) AS n, count(DISTINCT frame_index) AS d, min(frame_index) AS lo, max(frame_index) AS hi, max(coalesce(CASE WHEN abs(CAST("timestamp" AS DOUBLE) - frame_index / 30.0::DOUBLE) > 1e-4 THEN 1 ELSE 0 END, 0)) AS t FROM frames GROUP BY 1),
-        e AS (SELECT episode_index, max(length) AS length FROM episodes GROUP BY 1), j AS (SELECT * FROM e FULL JOIN f USING (episode_index))
+    "alignment_verify": """WITH f AS (SELECT episode_index, count(*) AS n, count(DISTINCT frame_index) AS d, min(frame_index) AS lo, max(frame_index) AS hi, min("index" - frame_index) AS i0, max("index" - frame_index) AS i1, max(coalesce(CASE WHEN abs(CAST("timestamp" AS DOUBLE) - frame_index / 30.0::DOUBLE) > 1e-4 THEN 1 ELSE 0 END, 0)) AS t FROM frames GROUP BY 1),
+        e AS (SELECT episode_index, max(length) AS length FROM episodes GROUP BY 1), x AS (SELECT episode_index, coalesce(sum(n) OVER (ORDER BY episode_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS expected FROM f JOIN e USING (episode_index)),
+        j AS (SELECT * FROM e FULL JOIN f USING (episode_index) LEFT JOIN x USING (episode_index))
         SELECT episode_index, 'missing_frames' AS issue FROM j WHERE n IS NULL UNION ALL SELECT episode_index, 'length' FROM j WHERE length <> n UNION ALL SELECT episode_index, 'frame_index' FROM j WHERE lo <> 0 OR hi - lo + 1 <> d
-        UNION ALL SELECT episode_index, 'timestamp' FROM j WHERE t = 1 UNION ALL SELECT episode_index, 'duplicate_frame' FROM j WHERE d < n""",
+        UNION ALL SELECT episode_index, 'global_index' FROM j WHERE i0 <> expected OR i1 <> expected
+        UNION ALL SELECT episode_index, 'timestamp' FROM j WHERE t = 1 UNION ALL SELECT episode_index, 'duplicate_frame' FROM j WHERE d < n
+        UNION ALL SELECT -1, 'total_frames' FROM (SELECT count(*) AS n FROM frames) WHERE n <> 1000000 UNION ALL SELECT -1, 'total_episodes' FROM (SELECT count(*) AS n FROM e) WHERE n <> 1000""",
+
     "exported_frames": "WITH d AS (SELECT DISTINCT episode_index, frame_index FROM frames) SELECT CAST(dense_rank() OVER (ORDER BY episode_index) - 1 AS BIGINT) AS episode_index, CAST(row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1 AS BIGINT) AS frame_index, CAST(row_number() OVER (ORDER BY d.episode_index, d.frame_index) - 1 AS BIGINT) AS index, round(CAST(CAST((row_number() OVER (PARTITION BY d.episode_index ORDER BY d.frame_index) - 1) / 30.0::DOUBLE AS FLOAT) AS DOUBLE), 4) AS \"timestamp\" FROM d",
     "orphan_episodes": "SELECT DISTINCT episode_index FROM episodes WHERE episode_index NOT IN (SELECT episode_index FROM frames WHERE episode_index IS NOT NULL)",
-    "pooled_frame_agreement": f"WITH {_FR}, fa AS (SELECT * FROM fr WHERE raw IS NOT NULL), fo AS (SELECT episode, row_number() OVER (PARTITION BY episode, i ORDER BY frame_index) AS k, i, CAST(s[i + 1] AS DOUBLE) AS x, CAST(raw[i + 1] AS DOUBLE) AS y FROM fa, range(20) g(i)), df AS (SELECT episode, i, k, x - lag(x) OVER w AS ds, y - lag(y) OVER w AS da FROM fo WINDOW w AS (PARTITION BY episode, i ORDER BY k)), dd AS (SELECT * FROM df WHERE ds IS NOT NULL), sc AS (SELECT a.episode, CAST(l AS BIGINT) AS lag, round(avg(CASE WHEN sign(a.ds) = sign(b.da) THEN 1.0::DOUBLE ELSE 0 END), 12) AS score FROM dd a CROSS JOIN range(-2, 3) h(l) JOIN dd b ON b.episode = a.episode AND b.i = a.i AND b.k = a.k + l GROUP BY ALL) SELECT episode, arg_max(lag, (score, -lag)) AS lag, round(max(score), 6) AS score FROM sc GROUP BY episode",
+    "pooled_frame_agreement": f"WITH {_FR}, fa AS (SELECT * FROM fr WHERE raw IS NOT NULL), fo AS (SELECT episode, row_number() OVER (PARTITION BY episode, i ORDER BY frame_index) AS k, i, CAST(s[i + 1] AS DOUBLE) AS x, CAST(raw[i + 1] AS DOUBLE) AS y FROM fa, range(20) g(i)), df AS (SELECT episode, i, k, x - lag(x) OVER w AS ds, y - lag(y) OVER w AS da FROM fo WINDOW w AS (PARTITION BY episode, i ORDER BY k)), dd AS (SELECT * FROM df WHERE ds IS NOT NULL), sc AS (SELECT a.episode, CAST(l AS BIGINT) AS lag, round(avg(CASE WHEN sign(a.ds) = sign(b.da) THEN 1.0::DOUBLE ELSE 0 END), 12) AS score FROM dd a CROSS JOIN range(-10, 11) h(l) JOIN dd b ON b.episode = a.episode AND b.i = a.i AND b.k = a.k + l GROUP BY ALL) SELECT episode, arg_max(lag, (score, -lag)) AS lag, round(max(score), 6) AS score FROM sc GROUP BY episode",
 }
-# The whole range of lags: as the narrow query's SQL, from -10 to 10.
-ORACLES["pooled_frame_agreement_full"] = ORACLES["pooled_frame_agreement"].replace("range(-2, 3)", "range(-10, 11)")
 ORACLES["filter_flagged_cap"] = f"WITH {_FILT} SELECT episode, frame_index, s1 AS stage1, s3 AS stage3, cb AS low_confidence FROM (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY frame_index) AS i FROM ju WHERE bad) WHERE i <= 200"

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from kinelake.operators import anomalies, compaction, imputation
-from kinelake.plans import frame_queries, series_queries
+from kinelake.plans import conversion_queries, frame_queries, series_queries
 
-MODULES = [compaction, anomalies, imputation, series_queries, frame_queries]
+MODULES = [compaction, anomalies, imputation, series_queries, frame_queries, conversion_queries]
 
 
 def entry(spark, root):

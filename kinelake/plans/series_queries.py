@@ -315,13 +315,7 @@ def s2_decision(spark, root):
 
 
 def c_directional_agreement(spark, root):
-    """The episode filter's agreement, lags up to 5 only."""
-    d = alignment.differences(_pairs(spark, root), ONE, "state", "action", smooth=False)
-    return _rounded(alignment.pooled_agreement(d, ONE, ["episode"], 5), "score")
-
-
-def c_directional_agreement_full(spark, root):
-    """The same over the filter's whole range of lags (up to 10)."""
+    """The episode filter's agreement over its whole range of lags (up to 10)."""
     d = alignment.differences(_pairs(spark, root), ONE, "state", "action", smooth=False)
     return _rounded(alignment.pooled_agreement(d, ONE, ["episode"]), "score")
 
@@ -392,7 +386,7 @@ def cut_list(spark, root):
     return s.select("episode", F.col("run_start").alias("cut_start"), (F.col("run_end") + 1).alias("cut_end"))
 
 
-QUERIES = {f.__name__: f for f in (s3_band_prefix, s3_band_dims, prefix_mask, violation_scores, hist_quantiles, thr_global_hybrid, sudden_global, thr_episode_hybrid, sudden_episode_mean, median5, savgol11, moving_avg11, gradient_accel_jerk, ndiff_padded, plain_diffs, residual_features, startup_exclude, startup_grace, cluster_filter, cluster_jump, longest_run, mask_spans, renumber_frames, global_index, segment_split, timestamp_regrid, forward_fill, delta_integrate, flagged_cap, s2_best_lag, s2_direction_agreement, s2_decision, c_directional_agreement, c_directional_agreement_full, feature_stats, stats_of_stats, position_histogram, first_abnormal_cause, exclusion_summary, distribution_histogram, exceed_counts, normalize_q01_q99, cut_list)}
+QUERIES = {f.__name__: f for f in (s3_band_prefix, s3_band_dims, prefix_mask, violation_scores, hist_quantiles, thr_global_hybrid, sudden_global, thr_episode_hybrid, sudden_episode_mean, median5, savgol11, moving_avg11, gradient_accel_jerk, ndiff_padded, plain_diffs, residual_features, startup_exclude, startup_grace, cluster_filter, cluster_jump, longest_run, mask_spans, renumber_frames, global_index, segment_split, timestamp_regrid, forward_fill, delta_integrate, flagged_cap, s2_best_lag, s2_direction_agreement, s2_decision, c_directional_agreement, feature_stats, stats_of_stats, position_histogram, first_abnormal_cause, exclusion_summary, distribution_histogram, exceed_counts, normalize_q01_q99, cut_list)}
 
 _START = f"WITH {SE}, fm AS (SELECT episode, channel, min(frame) FILTER (abs(x) > 60) AS first FROM se GROUP BY ALL) SELECT episode, channel, CAST(sum(CASE WHEN first IS NULL OR frame < first + {{}} THEN 1 ELSE 0 END) AS BIGINT) AS n_startup FROM se JOIN fm USING (episode, channel) GROUP BY ALL"
 _MA = " + ".join(sql_at("m", k) for k in range(-5, 6))
@@ -430,7 +424,7 @@ ORACLES = {
     "s2_best_lag": f"WITH {_Z} SELECT episode, n, lag, round(corr, 6) AS corr FROM bl",
     "s2_direction_agreement": f"WITH {_Z} SELECT dx.episode, dx.lag, n_active, CASE WHEN n_active >= 10 AND corr IS NOT NULL THEN round(score, 6) END AS score FROM dx JOIN bl USING (episode)",
     "s2_decision": f"WITH {_Z} SELECT dx.episode, CASE WHEN n_active >= 10 AND corr IS NOT NULL THEN round(score, 6) < 0.65 END AS discard FROM dx JOIN bl USING (episode)",
-    "c_directional_agreement": f"WITH {PAIRS}, df AS (SELECT episode, frame, state - lag(state) OVER p AS ds, action - lag(action) OVER p AS da FROM pa WINDOW p AS (PARTITION BY episode ORDER BY frame)), dd AS (SELECT * FROM df WHERE ds IS NOT NULL), lg AS (SELECT CAST(l AS BIGINT) AS lag FROM range(-5, 6) t(l)), sc AS (SELECT a.episode, lag, round(avg(CASE WHEN sign(a.ds) = sign(b.da) THEN 1.0 ELSE 0.0 END), 12) AS score FROM dd a CROSS JOIN lg JOIN dd b ON b.episode = a.episode AND b.frame = a.frame + lag GROUP BY ALL) SELECT episode, arg_max(lag, (score, -lag)) AS lag, round(max(score), 6) AS score FROM sc GROUP BY episode",
+    "c_directional_agreement": f"WITH {PAIRS}, df AS (SELECT episode, frame, state - lag(state) OVER p AS ds, action - lag(action) OVER p AS da FROM pa WINDOW p AS (PARTITION BY episode ORDER BY frame)), dd AS (SELECT * FROM df WHERE ds IS NOT NULL), lg AS (SELECT CAST(l AS BIGINT) AS lag FROM range(-10, 11) t(l)), sc AS (SELECT a.episode, lag, round(avg(CASE WHEN sign(a.ds) = sign(b.da) THEN 1.0 ELSE 0.0 END), 12) AS score FROM dd a CROSS JOIN lg JOIN dd b ON b.episode = a.episode AND b.frame = a.frame + lag GROUP BY ALL) SELECT episode, arg_max(lag, (score, -lag)) AS lag, round(max(score), 6) AS score FROM sc GROUP BY episode",
     "feature_stats": f"WITH {SE} SELECT episode, channel, min(x) AS min, max(x) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, count(x) AS count FROM se GROUP BY ALL",
     "stats_of_stats": f"WITH {SE}, st AS (SELECT episode, channel, min(x) AS lo, max(x) AS hi, avg(x) AS m, stddev_pop(x) AS s, count(x) AS n FROM se GROUP BY ALL) SELECT channel, min(lo) AS min, max(hi) AS max, round(sum(m * n) / sum(n), 6) AS mean, round(sum(s * n) / sum(n), 6) AS std, CAST(sum(n) AS BIGINT) AS count FROM st GROUP BY channel",
     "position_histogram": f"WITH {SE}, nn AS (SELECT *, count(*) OVER (PARTITION BY episode, channel) AS n FROM se) SELECT channel, CAST(least(floor(frame / CAST(greatest(n - 1, 1) AS DOUBLE) * 100), 99) AS BIGINT) AS bin, count(*) AS n_flagged FROM nn WHERE x > 50 GROUP BY ALL",
@@ -441,5 +435,3 @@ ORACLES = {
     "normalize_q01_q99": f"WITH {BAND} SELECT episode, frame, channel, round(CASE WHEN q9 - q1 > 1e-12 THEN 2 * (x - q1) / (q9 - q1) - 1 ELSE 0 END, 6) AS normalised FROM se JOIN bo USING (channel)",
     "cut_list": f"WITH {BAND}, ok AS (SELECT episode, frame, frame - row_number() OVER (PARTITION BY episode ORDER BY frame) AS isle FROM fb WHERE NOT bad) SELECT episode, min(frame) AS cut_start, max(frame) + 1 AS cut_end FROM ok GROUP BY episode, isle",
 }
-# The whole range of lags: as the narrow query's SQL, from -10 to 10.
-ORACLES["c_directional_agreement_full"] = ORACLES["c_directional_agreement"].replace("range(-5, 6)", "range(-10, 11)")

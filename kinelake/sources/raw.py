@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kinelake.functions.text import natural_order
 
 DEFAULT_INTRINSICS = (736.6339, 736.6339, 960.0, 540.0)
-#: Joints of a hand as one corpus names them (fixed values).
-FINGERS = ("Thumb", "IndexFinger", "MiddleFinger", "RingFinger", "LittleFinger")
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
