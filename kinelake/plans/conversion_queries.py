@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kinelake.functions import geometry as g, text
 from kinelake.functions.deliveries import once
 from kinelake.functions.timeseries import Axis, savgol_taps
-from kinelake.operators import analysis, conversion, episode_filter, export, quality
+from kinelake.operators import analysis, conversion, episode_filter, export, pipeline, quality
 from kinelake.plans.frame_queries import _FILT, _FR, _INV, _KP, _POSE_OK, _QM, _QUAL, CANON, STRICT, _at, _cells, _frames, _poses, _states, _unnest, _valid
 from kinelake.sources import raw, read_table
 from kinelake.session import materialise
@@ -187,6 +187,15 @@ def array_issues(spark, root):
     return export.array_issues(_frames(spark, root), {"observation.state": 20, "action": 20, "observation.confidence": 8, "observation.depth": 1})
 
 
+def device_times(spark, root):
+    """Seconds since the first frame by the device's clock, else by the episode's rate."""
+    fps = read_table(spark, root, "episodes").groupBy(F.col("episode_index").alias("episode")).agg(F.max("fps").alias("fps"))
+    rows = once(_frames(spark, root).select(F.col("episode_index").alias("episode"), "frame_index", "timestamps"), ["episode"], ["frame_index"]).join(fps, "episode")
+    order = Window.partitionBy("episode").orderBy("frame_index")
+    seconds = pipeline.device_seconds(F.col("frame_index"), F.col("timestamps"), F.col("fps"), order)
+    return rows.select("episode", "frame_index", F.round(seconds.cast("double"), 3).alias("seconds"))
+
+
 # Names and metadata --------------------------------------------------------------------
 
 
@@ -284,7 +293,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         quat_smooth, slam_pose, camera_relative, end_effector_pose, camera_reference, calibrated_episodes, confidence_columns, rotation_repair, fill_invalid_points, step1_masks, step1_actions, step1_smoothed, step1_rejected, step1_manifest,
-        episode_source, stream_pairs, masked_frames, action_is_state, filtered_dataset, filtered_tasks, valid_segments, limited_episodes, strided_frames, array_issues, episode_names, natural_files, decoded_names, task_texts, intrinsics,
+        episode_source, stream_pairs, masked_frames, action_is_state, filtered_dataset, filtered_tasks, valid_segments, limited_episodes, strided_frames, array_issues, device_times, episode_names, natural_files, decoded_names, task_texts, intrinsics,
         manifest_match, unpacked_only, exceed_frame_counts, truncation_causes, sudden_positions, flagged_dimensions, dimension_flags, pipeline_totals,
     )
 }
@@ -363,6 +372,7 @@ ORACLES = {
     "limited_episodes": "WITH d AS (SELECT DISTINCT episode_index, frame_index FROM frames) SELECT episode_index, count(*) AS n FROM d WHERE episode_index IN (SELECT DISTINCT episode_index FROM frames ORDER BY 1 LIMIT 10) GROUP BY 1",
     "strided_frames": f"WITH {_FR}, nn AS (SELECT *, count(*) OVER (PARTITION BY episode) AS n FROM fr) SELECT episode, frame_index FROM nn WHERE t % greatest(1, CAST(ceil(n / 20.0::DOUBLE) AS BIGINT)) = 0",
     "array_issues": "SELECT 'observation.depth' AS \"column\", 'missing' AS issue, CAST(1 AS BIGINT) AS n UNION ALL " + " UNION ALL ".join(f"SELECT * FROM (SELECT '{c}', CASE WHEN \"{c}\" IS NULL THEN 'null' WHEN len(\"{c}\") <> {w} THEN 'width' END AS issue, count(*) FROM frames GROUP BY 2) WHERE issue IS NOT NULL" for c, w in (("observation.state", 20), ("action", 20), ("observation.confidence", 8))),
+    "device_times": "WITH d AS (SELECT DISTINCT ON (episode_index, frame_index) episode_index, frame_index, timestamps FROM frames), f AS (SELECT episode_index, max(fps) AS fps FROM episodes GROUP BY 1), z AS (SELECT *, first_value(timestamps IGNORE NULLS) OVER (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS t0 FROM d) SELECT episode_index AS episode, frame_index, round(CAST(CAST(coalesce((timestamps - t0) / 1e9::DOUBLE, frame_index / CAST(fps AS DOUBLE)) AS FLOAT) AS DOUBLE), 3) AS seconds FROM z JOIN f USING (episode_index)",
     "episode_names": f"SELECT DISTINCT episode_index, {_NAME} AS name, 'chunk-' || lpad(CAST(episode_index // 100 AS VARCHAR), 3, '0') AS chunk, regexp_replace(coalesce(task_name, 'no task'), '[^A-Za-z0-9._-]+', '_', 'g') AS safe FROM episodes",
     "natural_files": r"WITH f AS (SELECT DISTINCT episode_index, file_id, regexp_replace(file_path, 'part-0*([0-9]+)\.parquet$', '\1.parquet') AS path FROM episode_files), k AS (SELECT *, regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, regexp_extract(path, '([^/]*?)(\.[^./]*)?$', 1) AS stem FROM f) SELECT episode_index, file_id, row_number() OVER (PARTITION BY episode_index ORDER BY folder, CASE WHEN regexp_full_match(stem, '[0-9]{1,18}') THEN CAST(stem AS BIGINT) ELSE 4611686018427387904 END, path, file_id) AS place FROM k",
     "decoded_names": "SELECT task_index, task_name AS name FROM tasks",

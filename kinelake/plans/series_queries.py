@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kinelake.functions import timeseries as ts
 from kinelake.functions.timeseries import Axis
-from kinelake.operators import alignment, statistics
+from kinelake.operators import alignment, export, statistics
 from kinelake.session import materialise
 from kinelake.sources import read_table
 
@@ -249,13 +249,10 @@ def renumber_frames(spark, root):
 
 
 def global_index(spark, root):
-    """Contiguous index over all episodes: the episode table carries the running sum, frames only join it.
-
-    The running sum is over one row per episode."""
+    """Contiguous index over all episodes: the episode table carries the running sum, frames only join it."""
     e = episodes(spark, root)
     n = e.groupBy("episode").agg(F.count("*").alias("n"))
-    start = n.withColumn("start", F.sum("n").over(Window.orderBy("episode")) - F.col("n"))
-    return e.join(start.select("episode", "start"), "episode").select("episode", "frame", (F.col("start") + F.col("frame")).alias("index"))
+    return e.join(export.running_start(n, "episode", "n", "start"), "episode").select("episode", "frame", (F.col("start") + F.col("frame")).alias("index"))
 
 
 def segment_split(spark, root):

@@ -25,6 +25,27 @@ def read_document(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path, multiLine=True)
 
 
+def dataset_info(info: dict) -> dict:
+    """What an information file says: fps, chunk size, totals, the shape of every feature as a tuple (a number, a list or a
+    nested list are understood), and the video keys, which are the features of type video."""
+    features = info.get("features") or {}
+
+    def shape(given):
+        given = given.get("shape") if isinstance(given, dict) else given
+        if given is None:
+            return ()
+        if isinstance(given, (int, float)):
+            return (int(given),)
+        while len(given) == 1 and isinstance(given[0], (list, tuple)):
+            given = given[0]
+        return tuple(int(n) for n in given)
+
+    return {
+        "fps": float(info.get("fps") or 30), "chunk_size": int(info.get("chunks_size") or 1000), "total_frames": info.get("total_frames"), "total_episodes": info.get("total_episodes"),
+        "shapes": {k: shape(v) for k, v in features.items()}, "video_keys": sorted(k for k, v in features.items() if isinstance(v, dict) and v.get("dtype") == "video"),
+    }
+
+
 def chunk_of(episode, size: int = 1000):
     """The partition column of an episode dataset: ``episode div size``."""
     return F.floor(episode / F.lit(size)).cast("long")

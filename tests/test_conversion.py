@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from kinelake.functions import dense, geometry as g
 from kinelake.functions.timeseries import Axis
-from kinelake.operators import conversion as c, export, quality
-from kinelake.sources import raw
+from kinelake.operators import conversion as c, episode_filter, export, pipeline, quality
+from kinelake.sources import raw, tables
 
 from helpers import frame, frames_table, walk
 
@@ -137,3 +137,26 @@ def test_strict_width():
     assert dense.matrix(column, 2).tolist()[0] == [1.0, 2.0]
     with pytest.raises(ValueError):
         dense.matrix(column, 2, strict=True)
+
+
+def test_pipeline_modes(spark, tmp_path):
+    x = walk(60, 3)
+    frames = frames_table(spark, [frame(e, t, x[t], x[t], shard=1) for e in (1, 2, 3) for t in range(60)])
+    for mode, have in (("report", (True, False)), ("filter", (False, True)), ("both", (True, True))):
+        out = tmp_path / mode
+        results = pipeline.run_quality(frames, str(out), quality.QualityConfig(output_mode=mode))
+        assert results.count() == 3 and ((out / "reports").exists(), (out / "data_filtered").exists()) == have
+    masked = spark.read.parquet(str(tmp_path / "both/data_filtered/data"))
+    assert masked.count() == 180 and "step_validity_mask" in masked.columns
+    with pytest.raises(Exception, match="exists"):
+        pipeline.run_quality(frames, str(tmp_path / "both"), quality.QualityConfig(output_mode="both"))
+    tasks = spark.createDataFrame([(0, "fold")], "task_index long, task_name string")
+    config = episode_filter.FilterConfig(multiplier=50.0, alpha=5.0, stage2=True, state_dims=(0, 1), action_dims=(0, 1))
+    decisions = pipeline.run_filter(frames.where("episode_index <> 2 or frame_index < 50"), tasks, str(tmp_path / "kept"), config)
+    assert decisions.count() == 3 and spark.read.json(str(tmp_path / "kept/reports/episode_decisions")).count() == 3
+    kept = spark.read.parquet(str(tmp_path / "kept/data"))
+    n = decisions.where("keep_episode").count()
+    assert n == 3 and kept.select("episode_index").distinct().count() == n and kept.count() == 170
+    assert pipeline.read_canonical(spark, str(tmp_path / "kept/data"), episodes=[0]).count() == 60
+    info = tables.dataset_info({"fps": 20, "features": {"observation.state": {"dtype": "float32", "shape": [[20]]}, "cam": {"dtype": "video", "shape": [3, 4, 5]}, "x": {"dtype": "int64", "shape": 1}}})
+    assert info["fps"] == 20 and info["shapes"] == {"observation.state": (20,), "cam": (3, 4, 5), "x": (1,)} and info["video_keys"] == ["cam"]
