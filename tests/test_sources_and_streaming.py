@@ -73,8 +73,11 @@ def test_dataset_round_trip(spark, tmp_path):
 
 
 def test_config():
-    c = q.QualityConfig.from_dict({"embodiment": "humanoid", "stage1": {"k": 60.0, "percentile_floor": 99.999}, "unknown": 1}, alpha=0.35, k=None)
-    assert c.layout is q.JOINT and c.k == 60.0 and c.alpha == 0.35 and c.extra["unknown"] == 1
+    given = {"schema": {"embodiment": "humanoid"}, "stage1": {"thresholds": {"k_residual": 60.0, "percentile_floor": 99.999}}}
+    c = q.QualityConfig.from_dict(given, alpha=0.35, k_residual=None)
+    assert c.layout is q.JOINT and c.k_residual == 60.0 and c.alpha == 0.35 and c.percentile_floor == 99.999
+    with pytest.raises(ValueError, match="unknown"):  # no setting is ignored
+        q.QualityConfig.from_dict(given | {"unknown": 1})
     assert not ef.reference_frame_ok("current_camera") and ef.reference_frame_ok("first_camera")
 
 
