@@ -24,7 +24,7 @@ from kinelake.session import materialise
 WIDTH = 20
 
 
-#: Where a configuration file has each setting: path in the file -> field.
+#: Where a configuration file has each setting (fixed values): path in the file -> field.
 SETTINGS = {
     "action_key": "action_key", "state_key": "state_key", "confidence_key": "confidence_key", "action_frame": "action_frame", "confidence_min": "confidence_min", "max_bad_frame_ratio": "max_bad_frame_ratio",
     "stage1.enabled": "stage1", "stage1.smooth_window": "smooth_window", "stage1.median_window": "median_window", "stage1.residual_mean_multiplier": "multiplier", "stage1.min_threshold": "min_threshold",

@@ -39,7 +39,7 @@ JOINT = Layout("joint_gripper", (), (), tuple(range(12)), (12, 13))
 LAYOUTS = {"egodex": POSE, "humanoid": JOINT}
 
 
-#: Where a configuration file has each setting: path in the file -> field.
+#: Where a configuration file has each setting (fixed values): path in the file -> field.
 SETTINGS = {
     "pipeline.min_episode_length": "min_episode_length", "pipeline.action_zero_epsilon": "zero_epsilon", "pipeline.stage1_post_zero_grace_frames": "grace_frames",
     "pipeline.discard_short_prefix": "discard_short", "pipeline.output_mode": "output_mode", "preprocess.action_from_state": "action_from_state", "dataset.fps": "fps", "dataset.total_episodes": "total_episodes",
@@ -56,7 +56,7 @@ SETTINGS = {
     "stage5.enabled": "stage5", "stage5.reference_frame": "reference_frame", "stage5.rotation_correction_euler_xyz": "correction", "stage5.egodex_extrinsics_column": "extrinsics_column",
     "stage5.humanoid_calibration_relpath": "calibration_path", "stage5.humanoid_camera_extrinsic_key": "extrinsic_key",
 }
-#: Settings of the file that need no field here: what Spark decides itself, what names the dataset, and what no rule reads.
+#: Settings of the file (fixed values) that need no field here: what Spark decides itself, what names the dataset, and what no rule reads.
 WITHOUT_EFFECT = (
     "schema.canonical_dim", "schema.state_column", "schema.action_column", "schema.raw_columns", "dataset.root", "dataset.embodiment", "dataset.robot_type", "pipeline.num_workers",
     "stage1.exclusion.mode", "stage1.exclusion.frame_removal.max_cluster_length", "stage2.exclusion.mode", "stage2.shared_dims", "stage3.exclusion.mode", "stage3.exclusion.validity_mask", "stage3.quaternion",
