@@ -138,30 +138,25 @@ class Sparse:
         self.start = np.concatenate(([0], np.cumsum(self.length)))
         self.width = width
 
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The columns of ``rows``, one after the other, and the place in ``rows`` that each belongs to."""
+        n = self.length[rows]
+        at = np.repeat(self.start[rows] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        return self.column[at], np.repeat(np.arange(len(rows)), n)
+
     def mean(self, table: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
         if rows is None:
             return np.add.reduceat(table[self.column], self.start[:-1], axis=0) / self.length[:, None]
-        at = np.concatenate([np.arange(self.start[r], self.start[r + 1]) for r in rows])
+        column, _ = self.take(rows)
         n = self.length[rows]
-        return np.add.reduceat(table[self.column[at]], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0) / n[:, None]
-
-    def columns(self, rows: np.ndarray) -> np.ndarray:
-        """The distinct columns that ``rows`` use, ascending."""
-        return np.unique(np.concatenate([self.column[self.start[r] : self.start[r + 1]] for r in rows]))
+        return np.add.reduceat(table[column], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0) / n[:, None]
 
-    def spread(self, gradient: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
-        out = np.zeros((self.width, gradient.shape[1]))
-        if rows is None:
-            at, n, owner = slice(None), self.length, self.row
-        else:
-            at = np.concatenate([np.arange(self.start[r], self.start[r + 1]) for r in rows])
-            n = self.length[rows]
-            owner = np.repeat(np.arange(len(rows)), n)
-        scaled = (gradient / n[:, None])[owner]
-        column = self.column[at]
-        for d in range(gradient.shape[1]):
-            out[:, d] = np.bincount(column, scaled[:, d], minlength=self.width)
-        return out
+    def spread(self, gradient: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct columns of ``rows``, and what each takes of the gradients of the rows' means."""
+        column, owner = self.take(rows)
+        columns, place = np.unique(column, return_inverse=True)
+        scaled = (gradient / self.length[rows][:, None])[owner]
+        return columns, np.stack([np.bincount(place, scaled[:, d], minlength=len(columns)) for d in range(gradient.shape[1])], axis=1)
 
 
 def new_parameters(outputs: int, seed: int = 7) -> dict[str, np.ndarray]:
@@ -221,12 +216,14 @@ class Trainer:
         outputs = len(self.p["b"])
         gw, gb, words, gv = np.zeros((DIM, outputs)), np.zeros(outputs), np.zeros(0, int), np.zeros((0, DIM))
         if len(at):
-            words = self.sentences.columns(at)
-            lists = [np.searchsorted(words, self.sentences.column[self.sentences.start[r] : self.sentences.start[r + 1]]) for r in at]
-            local = Sparse(lists, len(words))
-            x = local.mean(self.words.mean(self.p["e"], words))
+            column, owner = self.sentences.take(at)
+            words, place = np.unique(column, return_inverse=True)
+            n = self.sentences.length[at]
+            x = np.add.reduceat(self.words.mean(self.p["e"], words)[place], np.concatenate(([0], np.cumsum(n)[:-1])), axis=0) / n[:, None]
             g = (1 / (1 + np.exp(-(x @ self.p["w"] + self.p["b"]))) - target[at]) * weight[at]
-            gw, gb, gv = x.T @ g, g.sum(0), local.spread(g @ self.p["w"].T)
+            gw, gb = x.T @ g, g.sum(0)
+            back = ((g @ self.p["w"].T) / n[:, None])[owner]
+            gv = np.stack([np.bincount(place, back[:, d], minlength=len(words)) for d in range(DIM)], axis=1)
         return _joined(np.array([len(at)], np.float32), gw.astype(np.float32), gb.astype(np.float32), words.astype(np.int32), gv.astype(np.float32))
 
     def walk(self, target: np.ndarray, weight: np.ndarray, seed: int, batch: int = BATCH, rate: float = 0.03) -> None:
@@ -248,12 +245,10 @@ class Trainer:
             if not n:
                 continue
             word, place = np.unique(np.concatenate(words), return_inverse=True)
-            sums = np.zeros((len(word), DIM))
-            np.add.at(sums, place, np.concatenate(vectors))
+            every = np.concatenate(vectors)
+            sums = np.stack([np.bincount(place, every[:, d], minlength=len(word)) for d in range(DIM)], axis=1)
             # A word's vector is the mean of its rows, so each row takes its share of the word's gradient.
-            rows = self.words.columns(word)
-            per = Sparse([np.searchsorted(rows, self.words.column[self.words.start[k] : self.words.start[k + 1]]) for k in word], len(rows))
-            gradient["e"] = per.spread(sums)
+            rows, gradient["e"] = self.words.spread(sums, word)
             self.steps += 1
             for k, g in gradient.items():
                 here = rows if k == "e" else slice(None)
@@ -347,7 +342,7 @@ class Exchange:
     polls once a second, only tells the tasks where to connect.  A lost task breaks the connections, all tasks fail, and
     Spark runs the stage again as a whole."""
 
-    TIMEOUT = 600
+    TIMEOUT = 180
 
     def __init__(self, context):
         self.rank, size = context.partitionId(), len(context.getTaskInfos())
