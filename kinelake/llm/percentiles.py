@@ -246,11 +246,17 @@ def _tally(gkey: str, salt: int, values: dict) -> pa.RecordBatch:
     return pa.record_batch([pa.array([gkey], pa.string()), pa.array([salt], pa.int64()), *[pa.array([values[k]], pa.list_(t)) for k, t in _TALLY]], names=["gkey", "salt", *[k for k, _ in _TALLY]])
 
 
+def _each(batch: pa.RecordBatch):
+    """Rows one by one, as blocks are large."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _counted(batches):
     """Round 1: the three-way counts of all first pivots, per block and group; at the end of ``pos`` what lies below the
     values that the block keeps."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _each(batch):
             n = np.array(row["n"])
             regions = list(_regions(n, row["keep"], row["body"]))
             hidden = np.array([h for _, h in regions])
@@ -317,11 +323,15 @@ def _slices(gkey, salt, pos, owner, v, pivot, place=0.5) -> pa.RecordBatch:
 def _cut(batches):
     """Cuts the values between the first pivots around each open rank out of the blocks."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _each(batch):
             regions = [v for v, _ in _regions(np.array(row["n"]), row["keep"], row["body"])]
             for g in row["states"]:
                 pos, lo, hi = np.array(g["pos"], np.int32), np.array(g["lo"]), np.array(g["hi"])
-                parts = [v[np.searchsorted(v, a, "right") : np.searchsorted(v, b, "left")] for v, a, b in ((regions[p // 3], a, b) for p, a, b in zip(pos, lo, hi))]
+                opens = starts_of(pos // 3)
+                parts = []
+                for a, b in zip(opens, np.append(opens[1:], len(pos))):  # the ranks of one column together
+                    v = regions[pos[a] // 3]
+                    parts += [v[i:j] for i, j in zip(np.searchsorted(v, lo[a:b], "right"), np.searchsorted(v, hi[a:b], "left"))]
                 owner = np.repeat(np.arange(len(pos)), [len(v) for v in parts])
                 if len(owner):
                     yield _slices(g["gkey"], row["salt"], pos, owner, np.concatenate(parts), np.full(len(pos), np.nan), np.array(g["place"]))
